@@ -19,13 +19,9 @@ from riskloom.operators.moments import ByClass, Moments, all_but, class_moments,
 
 SMOOTHING = 1e-9
 
-# Turns a named model number into a column: a literal for one model, a column of the
-# parameter table when every fold has its own model.
-Value = Callable[[str, float], Column]
-
-
-def literal(name: str, number: float) -> Column:
-    return F.lit(float(number))
+# Names a model number as a column: a literal for one model, a column of the parameter
+# table when every fold has its own model.
+Value = Callable[[str], Column]
 
 
 def _total(terms: list[Column]) -> Column:
@@ -55,18 +51,25 @@ class GaussianNaiveBayes:
             {c: m.variance + extra for c, m in stats.items()},
         )
 
-    def inputs(self, value: Value = literal) -> list[Column]:
+    def numbers(self) -> dict[str, float]:
+        out = {}
+        for c, prior in self.priors.items():
+            mean, var = self.means[c], self.variances[c]
+            out[f"constant_{c:g}"] = np.log(prior) - 0.5 * np.log(2 * np.pi * var).sum()
+            out.update({f"mean_{c:g}_{j}": m for j, m in enumerate(mean)})
+            out.update({f"scale_{c:g}_{j}": -0.5 / v for j, v in enumerate(var)})
+        return out
+
+    def inputs(self, value: Value) -> list[Column]:
         return [quoted(c).cast("double") for c in self.features]
 
-    def scores(self, inputs: list[Column], value: Value = literal) -> dict[float, Column]:
+    def scores(self, inputs: list[Column], value: Value) -> dict[float, Column]:
         out = {}
         for c in self.priors:
-            mean, var = self.means[c], self.variances[c]
-            constant = np.log(self.priors[c]) - 0.5 * np.log(2 * np.pi * var).sum()
-            terms = [value(f"constant_{c:g}", constant)]
+            terms = [value(f"constant_{c:g}")]
             for j, x in enumerate(inputs):
-                gap = x - value(f"mean_{c:g}_{j}", mean[j])
-                terms.append(gap * gap * value(f"scale_{c:g}_{j}", -0.5 / var[j]))
+                gap = x - value(f"mean_{c:g}_{j}")
+                terms.append(gap * gap * value(f"scale_{c:g}_{j}"))
             out[c] = _total(terms)
         return out
 
@@ -101,16 +104,21 @@ class LinearDiscriminant:
         }
         return LinearDiscriminant(features, weights, constants)
 
-    def inputs(self, value: Value = literal) -> list[Column]:
+    def numbers(self) -> dict[str, float]:
+        out = {f"constant_{c:g}": k for c, k in self.constants.items()}
+        for c, weights in self.weights.items():
+            out.update({f"weight_{c:g}_{j}": w for j, w in enumerate(weights)})
+        return out
+
+    def inputs(self, value: Value) -> list[Column]:
         return [quoted(c).cast("double") for c in self.features]
 
-    def scores(self, inputs: list[Column], value: Value = literal) -> dict[float, Column]:
+    def scores(self, inputs: list[Column], value: Value) -> dict[float, Column]:
         return {
             c: _total(
-                [value(f"constant_{c:g}", self.constants[c])]
-                + [x * value(f"weight_{c:g}_{j}", w[j]) for j, x in enumerate(inputs)]
+                [value(f"constant_{c:g}")] + [x * value(f"weight_{c:g}_{j}") for j, x in enumerate(inputs)]
             )
-            for c, w in self.weights.items()
+            for c in self.weights
         }
 
 
@@ -141,15 +149,20 @@ class UnionBayes:
         names = [f"pca_{i}" for i in range(components)] + [features[i] for i in chosen]
         return UnionBayes(features, block, offset, GaussianNaiveBayes.fit(projected, names))
 
-    def inputs(self, value: Value = literal) -> list[Column]:
+    def numbers(self) -> dict[str, float]:
+        out = {f"offset_{i}": -o for i, o in enumerate(self.offset)}
+        for i, row in enumerate(self.block):
+            out.update({f"block_{i}_{j}": w for j, w in enumerate(row)})
+        return {**out, **self.bayes.numbers()}
+
+    def inputs(self, value: Value) -> list[Column]:
         columns = [quoted(c).cast("double") for c in self.features]
         return [
-            _total([-value(f"offset_{i}", self.offset[i])]
-                   + [x * value(f"block_{i}_{j}", row[j]) for j, x in enumerate(columns)])
-            for i, row in enumerate(self.block)
+            _total([value(f"offset_{i}")] + [x * value(f"block_{i}_{j}") for j, x in enumerate(columns)])
+            for i in range(len(self.block))
         ]
 
-    def scores(self, inputs: list[Column], value: Value = literal) -> dict[float, Column]:
+    def scores(self, inputs: list[Column], value: Value) -> dict[float, Column]:
         return self.bayes.scores(inputs, value)
 
 
@@ -178,7 +191,8 @@ def _apply(df: DataFrame, model, value: Value, positive: float) -> DataFrame:
 
 
 def predict(df: DataFrame, model, positive: float = 1.0) -> DataFrame:
-    return _apply(complete_rows(df, model.features), model, literal, positive)
+    numbers = model.numbers()
+    return _apply(complete_rows(df, model.features), model, lambda name: F.lit(float(numbers[name])), positive)
 
 
 def fit(df: DataFrame, fitter, features: list[str]):
@@ -202,17 +216,8 @@ def cross_predict(
     the statistics by passing ``moments``.
     """
     moments = moments or class_moments(df, features, fold)
-    models, numbers = {}, {}
-    for f in sorted(moments):
-        found: dict[str, float] = {}
-
-        def note(name: str, number: float, found=found) -> Column:
-            found[name] = float(number)
-            return F.lit(float(number))
-
-        models[f] = fitter(all_but(moments, f), features)
-        models[f].scores(models[f].inputs(note), note)
-        numbers[f] = found
+    models = {f: fitter(all_but(moments, f), features) for f in sorted(moments)}
+    numbers = {f: {n: float(x) for n, x in model.numbers().items()} for f, model in models.items()}
     # The model with the most classes names all numbers; a class that a fold's training
     # rows lack gets an impossible score there.
     widest = max(numbers, key=lambda f: len(numbers[f]))
@@ -225,5 +230,5 @@ def cross_predict(
     joined = complete_rows(df, features).join(
         F.broadcast(parameters), quoted(fold) == F.col("_fold")
     )
-    scored = _apply(joined, models[widest], lambda name, number: F.col(f"p_{name}"), positive)
+    scored = _apply(joined, models[widest], lambda name: F.col(f"p_{name}"), positive)
     return scored.select(*[quoted(c) for c in df.columns], "prediction", "probability")

@@ -237,7 +237,7 @@ def _correlation(a: Column, b: Column) -> Column:
     """Pearson over rows where both are present; NULL when one of them is constant."""
     both = a.isNotNull() & b.isNotNull()
     a, b = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-    return F.when((F.min(a) < F.max(a)) & (F.min(b) < F.max(b)), F.corr(a, b))
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
 
 
 def pearson(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
