@@ -25,7 +25,7 @@ def fill_missing(
     columns: tuple[str, ...] = ("saving_accounts", "checking_account"),
     value: str = MISSING,
 ) -> DataFrame:
-    return df.fillna({c: value for c in columns})
+    return df.fillna({c: value for c in columns if c in df.columns})
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,8 +134,6 @@ def string_columns(spark, sf_dir):
 def design_matrix(spark, sf_dir):
     data = model_data(spark, sf_dir)
     vectors = columns.design(data.rows, data.features, target="label")
-    from pyspark.ml.functions import vector_to_array
-
     x = vector_to_array("features")
     total = F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
     return vectors.select(ROW_ID, "label", F.size(x).alias("n_features"), F.round(total, 6).alias("feature_sum"))
@@ -363,8 +362,6 @@ def pca_scores(spark, sf_dir):
     data = model_data(spark, sf_dir)
     train_rows = columns.design(data.train, data.features, target="label")
     fitted = features.union_pipeline().fit(train_rows)
-    from pyspark.ml.functions import vector_to_array
-
     axes = vector_to_array("axes")
     out = fitted.transform(columns.design(data.test, data.features, target="label"))
     return out.select(ROW_ID, axes[0].alias("axis_0"), axes[1].alias("axis_1"), "prediction")
@@ -566,12 +563,10 @@ def lineage_log(spark, sf_dir):
     """Rows through every phase of the applicants' flow, under the batch of the last order."""
     raw = raw_texts(spark, sf_dir)
     checked = conform(raw)
-    train_rows, test_rows = folds.train_test_split(checked.valid.select(ROW_ID))
-    log = governance.phase_log(
-        {"raw": raw, "validation": checked.valid, "training": train_rows}, "orders"
-    )
-    batch = table(spark, sf_dir, "orders").agg(batch_number(F.max("o_orderdate")).alias("batch_nr"))
-    return log.drop("position").join(F.broadcast(batch))
+    train_rows, _ = folds.train_test_split(checked.valid.select(ROW_ID))
+    log = governance.phase_log({"raw": raw, "validation": checked.valid, "training": train_rows}, "orders")
+    batch = table(spark, sf_dir, "orders").agg(batch_number(F.max("o_orderdate"))).first()[0]
+    return log.drop("position").withColumn("batch_nr", F.lit(batch).cast("bigint"))
 
 
 @query
