@@ -51,27 +51,31 @@ def schema_hash(df: DataFrame) -> int:
     return value
 
 
-def rows_written(spark: SparkSession, path: str, batch: int) -> int:
-    """Rows a batch has at ``path``: answered from file footers, after partition pruning."""
-    table = spark.read.parquet(path)
-    if "batch_nr" in table.columns:
-        table = table.filter(F.col("batch_nr") == batch)
-    return table.count()
+def batch_of(spark: SparkSession, path: str, schema: T.StructType, batch: int) -> DataFrame:
+    """One batch of a table partitioned by ``batch_nr``, without that column.
+
+    The schema is given, so a table without any partition yet is simply empty.
+    """
+    columns = [f for f in schema if f.name != "batch_nr"]
+    whole = T.StructType([*columns, T.StructField("batch_nr", T.LongType())])
+    return spark.read.schema(whole).parquet(path).filter(F.col("batch_nr") == batch).drop("batch_nr")
 
 
 def with_lineage(
     df: DataFrame, write, step: str, source: str, destination: str, log: str, moment: datetime, rows_in: int | None = None
-) -> int:
-    """Write ``df`` through ``write(df, destination)`` and record the phase; returns rows written.
+) -> DataFrame:
+    """Write ``df`` by batch through ``write(df, destination)``, record the phase, return the batch.
 
-    Rows are counted at the destination, so the log says what is there, not what was sent.
+    Rows are counted at the destination, from the footers of the batch's files: the log
+    says what is there, not what was sent.
     """
+    spark, batch = df.sparkSession, int(moment.strftime("%Y%m%d"))
     write(df, destination)
-    rows_out = rows_written(df.sparkSession, destination, int(moment.strftime("%Y%m%d")))
+    written = batch_of(spark, destination, df.schema, batch)
     append_lineage(
-        lineage_record(df.sparkSession, step, source, destination, moment, rows_in, rows_out, schema_hash(df)), log
+        lineage_record(spark, step, source, destination, moment, rows_in, written.count(), schema_hash(df)), log
     )
-    return rows_out
+    return written
 
 
 def phase_log(phases: dict[str, DataFrame], source: str) -> DataFrame:

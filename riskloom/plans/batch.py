@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.constants import ROW_ID
@@ -38,28 +38,29 @@ def run_batch(spark: SparkSession, paths: Paths, moment: datetime, schema=None)
     Every table is partitioned by batch and overwritten per partition, so running a
     day again replaces that day only.
     """
-    batch = int(moment.strftime("%Y%m%d"))
-    by_batch = lambda df, path: write_parquet(df.withColumn("batch_nr", F.lit(batch).cast("bigint")), path, "batch_nr")
-    this_batch = lambda path: spark.read.parquet(path).filter(F.col("batch_nr") == batch).drop("batch_nr")
+    batch = F.lit(int(moment.strftime("%Y%m%d"))).cast("bigint")
     counts: dict[str, int] = {}
 
-    def phase(df, step: str, source: str, destination: str, write=by_batch, rows_in: int | None = None) -> None:
-        counts[step] = with_lineage(df, write, step, source, destination, paths.lineage, moment, rows_in)
+    def by_batch(df: DataFrame, path: str) -> None:
+        write_parquet(df.withColumn("batch_nr", batch), path, "batch_nr")
+
+    def phase(df: DataFrame, step: str, source: str, destination: str, rows_in=None, write=by_batch) -> DataFrame:
+        written = with_lineage(df, write, step, source, destination, paths.lineage, moment, rows_in)
+        counts[step] = written.count()
+        return written
 
     raw = canonical_names(read_csv(spark, paths.source, schema))
-    phase(raw, "raw", paths.source, paths.raw)
-    landed = this_batch(paths.raw)
-    phase(column_summary(landed.drop(ROW_ID)), "analysis", paths.raw, paths.profile, rows_in=counts["raw"])
+    landed = phase(raw, "raw", paths.source, paths.raw)
+    phase(column_summary(landed.drop(ROW_ID)), "analysis", paths.raw, paths.profile, counts["raw"])
     checked = conform(landed)
-    phase(checked.quarantine, "quarantine", paths.raw, paths.quarantine, rows_in=counts["raw"])
-    phase(checked.valid, "validation", paths.raw, paths.valid, rows_in=counts["raw"])
-    valid = this_batch(paths.valid)
-    phase(curate(valid), "curation", paths.valid, paths.curated, rows_in=counts["validation"])
+    phase(checked.quarantine, "quarantine", paths.raw, paths.quarantine, counts["raw"])
+    valid = phase(checked.valid, "validation", paths.raw, paths.valid, counts["raw"])
+    curated = phase(curate(valid), "curation", paths.valid, paths.curated, counts["validation"])
 
-    data = training_data(this_batch(paths.curated))
+    data = training_data(curated)
     model = closed_form.fit(data.train, closed_form.FITTERS["NB"], data.features)
     classes = closed_form.predict(data.rows, model).select(ROW_ID, "prediction", "probability")
-    scored = valid.join(classes, ROW_ID).withColumn("batch_nr", F.lit(batch).cast("bigint"))
-    phase(scored, "training", paths.curated, paths.results, publish, counts["curation"])
-    refresh_summary(spark, paths.results, paths.summary, [batch])
+    scored = valid.join(classes, ROW_ID).withColumn("batch_nr", batch)
+    phase(scored, "training", paths.curated, paths.results, counts["curation"], publish)
+    refresh_summary(spark, paths.results, paths.summary, [int(moment.strftime("%Y%m%d"))])
     return counts
