@@ -167,3 +167,19 @@ def quantiles(
             row.append(low + (high - low) * (spot - math.floor(spot)))
         out[group] = row
     return out
+
+
+def column_quantiles(
+    df: DataFrame, values: dict[str, Column], probs: list[float], limit: int = 1_000_000
+) -> dict[str, list[float]]:
+    """Exact quantiles of several expressions; columns without any value are left out.
+
+    Up to ``limit`` rows the built-in ``percentile`` is used: its state, one counter per
+    distinct value, is bounded by that. Beyond, values are selected by rounds of counting.
+    """
+    if df.count() <= limit:
+        row = df.agg(*[F.percentile(v.cast("double"), probs).alias(f"q{i}") for i, v in enumerate(values.values())]).first()
+        return {name: list(row[i]) for i, name in enumerate(values) if row[i] is not None}
+    cells = [F.struct(F.lit(n).alias("column"), v.cast("double").alias("value")) for n, v in values.items()]
+    tall = df.select(F.explode(F.array(*cells)).alias("c")).select("c.column", "c.value")
+    return {name: q for (name,), q in quantiles(tall, "value", probs, ("column",), limit).items()}

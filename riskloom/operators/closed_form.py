@@ -166,6 +166,11 @@ class UnionBayes:
         return self.bayes.scores(inputs, value)
 
 
+def needs_products(fitter) -> bool:
+    """Naive Bayes looks at variances only."""
+    return fitter is not GaussianNaiveBayes.fit
+
+
 FITTERS = {"NB": GaussianNaiveBayes.fit, "LDA": LinearDiscriminant.fit, "UNION": UnionBayes.fit}
 
 
@@ -197,7 +202,8 @@ def predict(df: DataFrame, model, positive: float = 1.0) -> DataFrame:
 
 def fit(df: DataFrame, fitter, features: list[str]):
     """Fit on all rows of ``df`` (with a ``label`` column) from one statistics pass."""
-    return fitter(all_but(class_moments(df, features), None), features)
+    moments = class_moments(df, features, products=needs_products(fitter))
+    return fitter(all_but(moments, None), features)
 
 
 def cross_predict(
@@ -215,7 +221,7 @@ def cross_predict(
     same expression to every row with its fold's numbers. Several models can share
     the statistics by passing ``moments``.
     """
-    moments = moments or class_moments(df, features, fold)
+    moments = moments or class_moments(df, features, fold, needs_products(fitter))
     models = {f: fitter(all_but(moments, f), features) for f in sorted(moments)}
     numbers = {f: {n: float(x) for n, x in model.numbers().items()} for f, model in models.items()}
     # The model with the most classes names all numbers; a class that a fold's training

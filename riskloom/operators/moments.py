@@ -14,6 +14,7 @@ from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.scalars import quoted
 
@@ -52,12 +53,24 @@ def merge(parts: list[Moments]) -> Moments:
 
 def complete_rows(df: DataFrame, features: list[str]) -> DataFrame:
     """Rows in which every feature is present; closed-form models skip the others."""
-    return df.na.drop(subset=["`" + c.replace("`", "``") + "`" for c in features])
-
-
-def class_moments(df: DataFrame, features: list[str], fold: str | None = None) -> dict[int, ByClass]:
+    kinds = {f.name: f for f in df.schema}
+    whole = F.lit(True)
+    for c in features:
+        # Indicators can be neither NULL nor NaN: testing them would only cost time.
+        if kinds[c].nullable:
+            whole = whole & quoted(c).isNotNull()
+        if isinstance(kinds[c].dataType, (T.DoubleType, T.FloatType)):
+            whole = whole & ~F.isnan(quoted(c))
+    return df.filter(whole)
+
+
+def class_moments(
+    df: DataFrame, features: list[str], fold: str | None = None, products: bool = True
+) -> dict[int, ByClass]:
     """``{fold: {class: Moments}}``; a single fold 0 when no fold column is named.
 
+    Without ``products`` only the diagonal of the scatter matrix is computed.
+
     Products come from ``PolynomialExpansion`` and their means from ``Summarizer``,
     both JVM-side with partial aggregation. Features are shifted by their overall mean
     first, which keeps the products free of cancellation. What reaches the driver is
@@ -67,6 +80,8 @@ def class_moments(df: DataFrame, features: list[str], fold: str | None = None) -
     if p > MAX_FEATURES:
         raise ValueError(f"more than {MAX_FEATURES} features")
     rows = complete_rows(df, features)
+    if not products:
+        return _variances(rows, features, fold)
     centre = rows.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(features)]).first()
     shift = np.array([v if v is not None else 0.0 for v in centre], dtype=float)
 
@@ -98,6 +113,29 @@ def class_moments(df: DataFrame, features: list[str], fold: str | None = None) -
     return out
 
 
+def _variances(rows: DataFrame, features: list[str], fold: str | None) -> dict[int, ByClass]:
+    key = (quoted(fold) if fold else F.lit(0)).cast("int").alias("fold")
+    named = rows.select(
+        key,
+        F.col("label").cast("double").alias("label"),
+        *[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+    )
+    assembler = VectorAssembler(inputCols=[f"x{i}" for i in range(len(features))], outputCol="v")
+    summary = (
+        assembler.transform(named)
+        .groupBy("fold", "label")
+        .agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
+        .select("fold", "label", "s.mean", "s.variance", "s.count")
+        .collect()
+    )
+    out: dict[int, ByClass] = {}
+    for r in summary:
+        n = float(r["count"])
+        scatter = np.diag(r["variance"].toArray() * (n - 1))
+        out.setdefault(r["fold"], {})[r["label"]] = Moments(n, r["mean"].toArray(), scatter)
+    return out
+
+
 def all_but(moments: dict[int, ByClass], fold: int | None) -> ByClass:
     """Training statistics: every fold merged except ``fold``."""
     parts: dict[float, list[Moments]] = {}

@@ -10,10 +10,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.order_stats import quantiles
+from riskloom.functions.order_stats import column_quantiles
 from riskloom.functions.running import running_totals
 from riskloom.functions.scalars import quoted
 from riskloom.operators.columns import numeric_columns, string_columns
+from riskloom.session import pin
 
 PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
 
@@ -102,18 +103,15 @@ def column_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def numeric_stats(df: DataFrame, columns: list[str] | None = None, limit: int = 1_000_000) -> DataFrame:
     """Location and spread of numeric columns, with the median absolute deviation."""
+    columns = columns or numeric_columns(df)
     cells = numbers(df, columns)
-    medians = {c: row[0] for (c,), row in quantiles(cells, "value", [0.5], by=("column",)).items()}
-    middle = F.when(F.lit(False), F.lit(0.0))
-    for c, m in medians.items():
-        middle = middle.when(F.col("column") == c, F.lit(m))
-    away = cells.select("column", F.abs(F.col("value") - middle).alias("value"))
-    mads = {c: row[0] for (c,), row in quantiles(away, "value", [0.5], by=("column",)).items()}
+    medians = {c: q[0] for c, q in column_quantiles(df, {c: quoted(c) for c in columns}, [0.5], limit).items()}
+    away = {c: F.abs(quoted(c) - F.lit(m)) for c, m in medians.items()}
     mad = F.when(F.lit(False), F.lit(0.0))
-    for c, m in mads.items():
-        mad = mad.when(F.col("column") == c, F.lit(m))
+    for c, q in column_quantiles(df, away, [0.5], limit).items():
+        mad = mad.when(F.col("column") == c, F.lit(q[0]))
     value = F.col("value")
     return (
         cells.groupBy("column")
@@ -136,8 +134,8 @@ def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def quantile_table(df: DataFrame, columns: list[str] | None = None, limit: int = 1_000_000) -> DataFrame:
     """Exact 5/25/50/75/95 % quantiles and the interquartile range."""
-    found = quantiles(numbers(df, columns), "value", PROBS, by=("column",), limit=limit)
-    rows = [(c, *row, row[3] - row[1]) for (c,), row in sorted(found.items())]
+    found = column_quantiles(df, {c: quoted(c) for c in columns or numeric_columns(df)}, PROBS, limit)
+    rows = [(c, *q, q[3] - q[1]) for c, q in sorted(found.items())]
     return df.sparkSession.createDataFrame(
         rows, "column string, q05 double, q25 double, q50 double, q75 double, q95 double, iqr double"
     )
@@ -205,10 +203,11 @@ def extreme_values(df: DataFrame, columns: list[str] | None = None, k: int = 5)
 
 def text_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Length of the texts of each string column."""
-    lengths = tall(df, columns or string_columns(df), "string").select("column", F.length("value").alias("value"))
+    columns = columns or string_columns(df)
+    lengths = tall(df, columns, "string").select("column", F.length("value").alias("value"))
     middle = F.when(F.lit(False), F.lit(0.0))
-    for (c,), row in quantiles(lengths, "value", [0.5], by=("column",)).items():
-        middle = middle.when(F.col("column") == c, F.lit(row[0]))
+    for c, q in column_quantiles(df, {c: F.length(quoted(c)) for c in columns}, [0.5]).items():
+        middle = middle.when(F.col("column") == c, F.lit(q[0]))
     return (
         lengths.groupBy("column")
         .agg(
@@ -246,26 +245,38 @@ def pearson(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return _one_row_to_pairs(row, pairs, "pearson")
 
 
-def with_average_rank(df: DataFrame, column: str, name: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Add the average rank of ``column``: equal values share the mean of their places.
+def average_ranks(df: DataFrame, columns: list[str], rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """(column, value, rank): the average place of every distinct value of each column.
 
-    Ranks are computed per distinct value from running counts and joined back. The
-    join side is left to Catalyst: few distinct values are broadcast by their measured
-    size, many are shuffled, with adaptive execution splitting a hot value.
+    Equal values share the mean of their places. Values are counted first; places are
+    running counts, per column in one window while its distinct values fit a bucket,
+    in two levels beyond.
+    """
+    counts = numbers(df, columns).filter(F.col("value").isNotNull()).groupBy("column", "value")
+    counts = pin(counts.agg(F.count("*").alias("n")), "counts")
+    sizes = {r["column"]: r["size"] for r in counts.groupBy("column").agg(F.count("*").alias("size")).collect()}
+    big = [c for c, size in sizes.items() if size > rows_per_bucket]
+    running = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = [counts.filter(~F.col("column").isin(big)).withColumn("upto_n", F.sum("n").over(running))]
+    for c in big:
+        parts.append(running_totals(counts.filter(F.col("column") == c), "value", ["n"], rows_per_bucket=rows_per_bucket))
+    every = reduce(DataFrame.unionByName, parts)
+    return every.select("column", "value", (F.col("upto_n") - (F.col("n") - 1) / 2).alias("rank"))
+
+
+def spearman(df: DataFrame, columns: list[str] | None = None, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Pearson correlation of average ranks, joined back to the rows by value.
+
+    The join side is left to Catalyst: few distinct values are broadcast by their
+    measured size, many are shuffled, with adaptive execution splitting a hot value.
     """
-    value = quoted(column)
-    counts = df.filter(value.isNotNull()).groupBy(value.alias("_value")).agg(F.count("*").alias("_n"))
-    ranks = running_totals(counts, "_value", ["_n"], rows_per_bucket=rows_per_bucket).select(
-        "_value", (F.col("upto__n") - (F.col("_n") - 1) / 2).alias(name)
-    )
-    return df.join(ranks, value == F.col("_value"), "left").drop("_value")
-
-
-def spearman(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or numeric_columns(df)
-    ranked = df.select(*[quoted(c) for c in columns])
-    for i, c in enumerate(columns):
-        ranked = with_average_rank(ranked, c, f"_rank{i}")
+    ranked = pin(df.select(*[quoted(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)]), "values")
+    named = {f"_v{i}": c for i, c in enumerate(columns)}
+    ranks = pin(average_ranks(ranked, list(named), rows_per_bucket), "ranks")
+    for i, v in enumerate(named):
+        own = ranks.filter(F.col("column") == v).select(F.col("value").alias("_k"), F.col("rank").alias(f"_rank{i}"))
+        ranked = ranked.join(own, F.col(v) == F.col("_k"), "left").drop("_k")
     pairs = _pairs(columns)
     rank = {c: F.col(f"_rank{i}") for i, c in enumerate(columns)}
     row = ranked.agg(*[_correlation(rank[a], rank[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])

@@ -151,7 +151,7 @@ def boosted_grid_search(
 
 def smoothing_grid_search(df: DataFrame, features: list[str], grid: list[float], metric: str = "recall") -> DataFrame:
     """Grid over the variance smoothing of naive Bayes: (grid_index, params, mean and std score)."""
-    parts, moments = [], class_moments(df, features, "fold")
+    parts, moments = [], class_moments(df, features, "fold", products=False)
     for i, smoothing in enumerate(grid):
         fitter = lambda stats, names, s=smoothing: closed_form.GaussianNaiveBayes.fit(stats, names, s)
         scores = fold_scores(closed_form.cross_predict(df, fitter, features, moments=moments), str(i), metric)

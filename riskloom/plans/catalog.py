@@ -17,7 +17,7 @@ from riskloom.operators import neighbors, profile, selection
 from riskloom.operators.conform import conform
 from riskloom.operators.moments import all_but, class_moments, merge
 from riskloom.plans import train
-from riskloom.session import pin, run_path
+from riskloom.session import run_path
 from riskloom.sources import files, warehouse
 from riskloom.sources.applications import applications, table
 from riskloom.sources.promote import promote
@@ -41,7 +41,7 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_data(spark: SparkSession, sf_dir: str) -> train.TrainingData:
-    return train.training_data(curated(spark, sf_dir))
+    return train.pinned(train.training_data(curated(spark, sf_dir)))
 
 
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -532,14 +532,13 @@ def gbt_scored(spark, sf_dir):
 def model_ranking(spark, sf_dir):
     """All eight models by cross-validated recall."""
     data = model_data(spark, sf_dir)
-    rows = pin(data.train, "features")
-    scores = selection.compare_models(folds.with_kfold(rows), data.features)
+    scores = selection.compare_models(folds.with_kfold(data.train), data.features)
     return selection.summarize(scores)
 
 
 def stratified_design(spark, sf_dir) -> tuple[DataFrame, int]:
     data = model_data(spark, sf_dir)
-    rows = pin(folds.with_stratified_kfold(data.train), "features")
+    rows = folds.with_stratified_kfold(data.train)
     return columns.design(rows, data.features, target="label", keep=("fold",)), len(data.features)
 
 

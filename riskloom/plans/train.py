@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.constants import BOOSTED_GRID, FIXED_FOREST, FOREST_GRID, STRATIFIED_FOLDS, TARGET
+from riskloom.constants import BOOSTED_GRID, FIXED_FOREST, FOREST_GRID, ROW_ID, STRATIFIED_FOLDS, TARGET
 from riskloom.operators import closed_form
 from riskloom.operators.columns import design, feature_names, log_column
 from riskloom.operators.folds import with_kfold, with_split, with_stratified_kfold
@@ -23,7 +23,7 @@ from riskloom.operators.selection import (
     forest_grid_search,
     summarize,
 )
-from riskloom.session import build_session, pin
+from riskloom.session import build_session, pin, spread
 from riskloom.sources.files import read_parquet, write_parquet
 
 # Small grids for a quick run; the full ones are in ``constants``.
@@ -58,6 +58,11 @@ def training_data(curated: DataFrame) -> TrainingData:
     return TrainingData(with_split(labelled), features)
 
 
+def pinned(data: TrainingData) -> TrainingData:
+    """The feature table written once, evenly spread, before the passes that read it."""
+    return TrainingData(pin(spread(data.rows, ROW_ID), "features"), data.features)
+
+
 def fit_fixed_forest(data: TrainingData, max_depth: int | None = 12, keep: tuple[str, ...] = ()):
     """The forest whose settings are given rather than searched; (model, scored test rows)."""
     settings = {**FIXED_FOREST, "max_depth": max_depth}
@@ -80,8 +85,7 @@ def training_step(
     The feature table is written once to the shared folder before the many passes over
     it, so model fits read pruned columns and survive lost executors.
     """
-    data = training_data(read_parquet(spark, input_loc))
-    data = TrainingData(pin(data.rows, "features"), data.features)
+    data = pinned(training_data(read_parquet(spark, input_loc)))
     p = len(data.features)
 
     def save(df: DataFrame, name: str) -> None:

@@ -62,3 +62,12 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     path = run_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even out rows by the hash of a unique key before many passes over them.
+
+    No partition count is named, so adaptive execution sizes the partitions: few for
+    little data, up to ``spark.sql.shuffle.partitions`` for much.
+    """
+    return df.repartition(key)

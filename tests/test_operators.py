@@ -159,13 +159,20 @@ def test_profile_runs_whole(spark, sf_dir):
             assert df.count() > 0, name
 
 
-def test_spearman_by_pieces(spark):
+def test_ranks_by_pieces(spark):
     rng = np.random.default_rng(2)
     x = rng.integers(0, 20, 300)
-    df = spark.createDataFrame([(int(v),) for v in x], "x int")
-    got = {r["x"]: r["rank"] for r in profile.with_average_rank(df, "x", "rank", rows_per_bucket=3).collect()}
+    df = spark.createDataFrame([(int(v), 0) for v in x], "x int, y int")
+    got = {(r["column"], r["value"]): r["rank"] for r in profile.average_ranks(df, ["x", "y"], 3).collect()}
     for v in set(x):
-        assert got[v] == (x < v).sum() + ((x == v).sum() + 1) / 2
+        assert got[("x", v)] == (x < v).sum() + ((x == v).sum() + 1) / 2
+    assert got[("y", 0)] == 150.5
+
+
+def test_quantiles_by_rounds_equal_builtin(spark, sf_dir):
+    df = applications(spark, sf_dir)
+    small, large = profile.quantile_table(df), profile.quantile_table(df, limit=100)
+    assert np.allclose([r[1:] for r in small.collect()], [r[1:] for r in large.collect()])
 
 
 def test_approximate_distinct(spark, sf_dir):
