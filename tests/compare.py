@@ -14,11 +14,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value + 0.0:.9g}"
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, bool) or value is None:
         return str(value)
     if isinstance(value, int):
-        return f"{float(value):.9g}" if abs(value) < 2**53 else str(value)
+        return repr(float(value)) if abs(value) < 2**53 else str(value)
     return str(value)
 
 
