@@ -18,6 +18,7 @@ RENAMES = {
     "Duration": "duration",
     "Purpose": "purpose",
     "Risk": "risk",
+    "Age_cat": "age_cat",
 }
 
 # Canonical column -> warehouse column, in load order.

@@ -108,8 +108,9 @@ def bucketize(
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    """Fill gaps and add the age band: the input of ``curate``."""
-    return fill_missing(df).withColumn("age_cat", bucketize("age"))
+    """Fill gaps and add the age band where the data has none: the input of ``curate``."""
+    filled = fill_missing(df)
+    return filled if "age_cat" in df.columns else filled.withColumn("age_cat", bucketize("age"))
 
 
 def curate(df: DataFrame, levels: Levels | None = None, prefixes: dict[str, str] = PREFIXES) -> DataFrame:

@@ -9,8 +9,7 @@ from pyspark.ml.feature import PCA, StandardScaler, UnivariateFeatureSelector, V
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalars import quoted
-from riskloom.operators.moments import ByClass, Moments, merge
+from riskloom.operators.moments import ByClass, Moments, all_but, class_moments, merge
 
 
 def principal_axes(pooled: Moments, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,41 +37,16 @@ def anova_scores(stats: ByClass) -> np.ndarray:
     return np.where(np.isnan(f), -1.0, f)
 
 
-def anova_f(df: DataFrame, features: list[str], label: str = "label") -> DataFrame:
-    """(feature, f_score, rank) by one grouped aggregate, computed from centred moments."""
-    per_class = df.groupBy(label).agg(
-        *[
-            F.struct(
-                F.count(quoted(c)).alias("n"), F.avg(quoted(c)).alias("mean"), F.var_pop(quoted(c)).alias("var")
-            ).alias(f"s{i}")
-            for i, c in enumerate(features)
-        ]
-    )
-    tall = per_class.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"s{i}").alias("s")) for i, c in enumerate(features)])
-        ).alias("e")
-    ).select("e.feature", "e.s.*")
-    pooled = tall.groupBy("feature").agg(
-        F.collect_list(F.struct("n", "mean", "var")).alias("parts"),
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"),
-        F.sum("n").alias("total"),
-        F.sum(F.col("n") * F.col("var")).alias("within"),
-        F.count("*").alias("k"),
-    )
-    gaps = F.transform("parts", lambda s: s["n"] * (s["mean"] - F.col("centre")) * (s["mean"] - F.col("centre")))
-    between = F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b)
-    f_score = (between / (F.col("k") - 1)) / F.nullif(F.col("within") / (F.col("total") - F.col("k")), F.lit(0.0))
-    return pooled.select("feature", f_score.alias("f_score"))
+def anova_f(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, f_score) from one statistics pass; NULL for a constant feature."""
+    scores = anova_scores(all_but(class_moments(df, features, products=False), None))
+    rows = [(f, float(v) if v >= 0 else None) for f, v in zip(features, scores)]
+    return df.sparkSession.createDataFrame(rows, "feature string, f_score double")
 
 
-def select_k_best(df: DataFrame, features: list[str], k: int = 6, label: str = "label") -> DataFrame:
+def select_k_best(df: DataFrame, features: list[str], k: int = 6) -> DataFrame:
     """The k features with the highest F value, best first; ties by name."""
-    return (
-        anova_f(df, features, label)
-        .orderBy(F.desc_nulls_last("f_score"), "feature")
-        .limit(k)
-    )
+    return anova_f(df, features).orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
 
 
 def union_pipeline(components: int = 2, k: int = 6) -> Pipeline:

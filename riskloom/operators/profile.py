@@ -303,17 +303,17 @@ def cramers_v(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     pair = ["left_column", "right_column"]
-    shares = counts.withColumns(
-        {
-            "in_a": F.sum("n").over(W.partitionBy(*pair, "a")),
-            "in_b": F.sum("n").over(W.partitionBy(*pair, "b")),
-        }
-    )
+    # Margins are aggregated and joined back, so a frequent level is never one window.
+    table = pin(counts, "contingency")
+    in_a = table.groupBy(*pair, "a").agg(F.sum("n").alias("in_a"))
+    in_b = table.groupBy(*pair, "b").agg(F.sum("n").alias("in_b"))
+    shares = table.join(in_a, [*pair, "a"]).join(in_b, [*pair, "b"])
     parts = shares.groupBy(*pair).agg(
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("n") / (F.col("in_a").cast("double") * F.col("in_b"))).alias("s"),
-        F.count_distinct("a").alias("r"),
-        F.count_distinct("b").alias("k"),
+        # A level's cells sum to its margin, so these shares count the levels.
+        F.round(F.sum(F.col("n") / F.col("in_a"))).cast("bigint").alias("r"),
+        F.round(F.sum(F.col("n") / F.col("in_b"))).cast("bigint").alias("k"),
     )
     phi2, n, r, k = F.col("s") - 1, F.col("n"), F.col("r"), F.col("k")
     phi2_corrected = F.greatest(phi2 - (k - 1) * (r - 1) / (n - 1), F.lit(0.0))

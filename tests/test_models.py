@@ -159,6 +159,9 @@ def test_iterative_models_learn(data, name):
     ).first()
     assert hits["n"] == data.test.count()
     assert hits["right"] > hits["majority"]
+    if name == "RF":
+        shares = iterative.positive_probability(scored).agg(F.min("probability"), F.max("probability")).first()
+        assert 0 <= shares[0] < shares[1] <= 1
 
 
 def test_null_features_are_skipped_and_counted(spark):

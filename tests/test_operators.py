@@ -57,6 +57,23 @@ def test_band_edges(spark):
     assert left == ["Student", "Student", "Young", "Young", None, None]
 
 
+def test_given_bands_are_kept(spark):
+    df = spark.createDataFrame([(1, 30, "x"), (2, 40, "y")], "application_id bigint, age int, age_cat string")
+    assert encode.curate(df).columns == ["application_id", "age", "Age_cat_y"]
+
+
+def test_association_equals_numpy(spark):
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 3, 500), rng.integers(0, 4, 500)
+    b[:200] = a[:200]
+    df = spark.createDataFrame([(str(i), str(j)) for i, j in zip(a, b)], "a string, b string")
+    seen = np.zeros((3, 4))
+    np.add.at(seen, (a, b), 1)
+    expected = np.outer(seen.sum(1), seen.sum(0)) / 500
+    want = np.sqrt(((seen - expected) ** 2 / expected).sum() / 500 / 2)
+    assert abs(profile.cramers_v(df).first()["cramers_v"] - want) < 1e-9
+
+
 def test_curated_groups_and_plan(spark, sf_dir):
     out = encode.curate(applications(spark, sf_dir))
     for prefix in ("Purpose", "Sex", "Housing", "Savings", "Check", "Age_cat"):
