@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.constants import BOOSTED_GRID, FIXED_FOREST, FOREST_GRID, ROW_ID, STRATIFIED_FOLDS, TARGET
+from riskloom.constants import BOOSTED_GRID, FIXED_FOREST, FOREST_GRID, KFOLDS, ROW_ID, STRATIFIED_FOLDS, TARGET
 from riskloom.operators import closed_form
 from riskloom.operators.columns import design, feature_names, log_column
 from riskloom.operators.folds import with_kfold, with_split, with_stratified_kfold
@@ -78,7 +78,13 @@ def test_scores(predictions: DataFrame, model: str) -> DataFrame:
 
 
 def training_step(
-    spark: SparkSession, input_loc: str, output_loc: str, full: bool = False, threads: int = 4
+    spark: SparkSession,
+    input_loc: str,
+    output_loc: str,
+    full: bool = False,
+    folds: int = KFOLDS,
+    grid_folds: int = STRATIFIED_FOLDS,
+    threads: int = 4,
 ) -> None:
     """Run the whole training job and write its tables and models below ``output_loc``.
 
@@ -91,17 +97,17 @@ def training_step(
     def save(df: DataFrame, name: str) -> None:
         write_parquet(df, f"{output_loc}/{name}")
 
-    folded = with_kfold(data.train)
-    scores = compare_models(folded, data.features, full=full, threads=threads)
+    folded = with_kfold(data.train, folds)
+    scores = compare_models(folded, data.features, folds=folds, full=full, threads=threads)
     save(scores, "model_scores")
     save(summarize(read_parquet(spark, f"{output_loc}/model_scores")), "model_ranking")
 
-    stratified = with_stratified_kfold(data.train, k=STRATIFIED_FOLDS)
+    stratified = with_stratified_kfold(data.train, k=grid_folds)
     assembled = design(stratified, data.features, target="label", keep=("fold",)).persist()
     test = design(data.test, data.features, target="label").persist()
 
     grid = FOREST_GRID if full else SMOKE_FOREST_GRID
-    table, forest = forest_grid_search(assembled, p, grid, STRATIFIED_FOLDS, threads)
+    table, forest = forest_grid_search(assembled, p, grid, grid_folds, threads)
     save(table, "forest_grid")
     save(best_of(table), "forest_best")
     forest.write().overwrite().save(f"{output_loc}/models/forest_best")
@@ -128,7 +134,7 @@ def training_step(
     matrices["union"] = confusion_matrix(union_scored)
 
     boosted_grid = BOOSTED_GRID if full else SMOKE_BOOSTED_GRID
-    table, boosted = boosted_grid_search(assembled, boosted_grid, 100 if full else 5, STRATIFIED_FOLDS, threads)
+    table, boosted = boosted_grid_search(assembled, boosted_grid, 100 if full else 5, grid_folds, threads)
     save(table, "boosted_grid")
     save(best_of(table), "boosted_best")
     boosted.write().overwrite().save(f"{output_loc}/models/boosted_best")

@@ -13,19 +13,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def applications(spark: SparkSession, sf_dir: str, dated: bool = False) -> DataFrame:
     """One row per order seen as a credit application; ``dated`` adds its day.
 
-    The dimension tables are joined to each other first, so the fact table takes
-    part in a single equi-join. No side is forced to broadcast: customers grow with
-    the data, so Catalyst decides by size and adaptive execution splits a hot customer.
+    The dimension tables are joined to each other first, smallest first, so the fact
+    table takes part in a single equi-join. No side is forced to broadcast: customers
+    grow with the data, so Catalyst decides by size and adaptive execution splits a hot
+    customer.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     orders = table(spark, sf_dir, "orders")
 
-    holder = (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "c_mktsegment", "r_name")
+    place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    holder = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "c_mktsegment", "r_name"
     )
     key = F.col("o_custkey")
     months = F.lit(6) * F.month("o_orderdate")

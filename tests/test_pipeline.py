@@ -117,10 +117,10 @@ def test_jobs_from_raw_to_models(spark, sf_dir, tmp_path):
     applications(spark, sf_dir).write.parquet(raw)
     curation_step(spark, raw, mid)
     assert spark.read.parquet(mid).count() == 1500
-    training_step(spark, mid, out)
+    training_step(spark, mid, out, folds=3, grid_folds=2)
     ranking = spark.read.parquet(f"{out}/model_ranking")
     assert {r["model"] for r in ranking.collect()} == {"LR", "LDA", "KNN", "CART", "NB", "RF", "SVM", "XGB"}
-    assert spark.read.parquet(f"{out}/model_scores").count() == 80
+    assert spark.read.parquet(f"{out}/model_scores").count() == 24
     assert spark.read.parquet(f"{out}/scored").count() == 1500
     scores = {r["model"]: r for r in spark.read.parquet(f"{out}/test_scores").collect()}
     assert set(scores) == {"forest_fixed", "bayes", "union", "boosted_best"}
