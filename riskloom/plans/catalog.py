@@ -532,7 +532,7 @@ def gbt_scored(spark, sf_dir):
 def model_ranking(spark, sf_dir):
     """All eight models by cross-validated recall."""
     data = model_data(spark, sf_dir)
-    scores = selection.compare_models(folds.with_kfold(data.train), data.features)
+    scores = selection.compare_models(folds.with_kfold(data.train), data.features, threads=8)
     return selection.summarize(scores)
 
 
@@ -545,13 +545,13 @@ def stratified_design(spark, sf_dir) -> tuple[DataFrame, int]:
 @query
 def rf_grid(spark, sf_dir):
     rows, p = stratified_design(spark, sf_dir)
-    return selection.forest_grid_search(rows, p, train.SMOKE_FOREST_GRID)[0]
+    return selection.forest_grid_search(rows, p, train.SMOKE_FOREST_GRID, threads=8)[0]
 
 
 @query
 def gbt_grid(spark, sf_dir):
     rows, _ = stratified_design(spark, sf_dir)
-    return selection.boosted_grid_search(rows, train.SMOKE_BOOSTED_GRID, rounds=3)[0]
+    return selection.boosted_grid_search(rows, train.SMOKE_BOOSTED_GRID, rounds=3, threads=8)[0]
 
 
 # Governance, sources and sinks --------------------------------------------------

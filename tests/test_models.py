@@ -100,7 +100,7 @@ def brute_force(x, ids, labels, fold, q, qfold, k):
     return [[ids[j] for j in np.lexsort((ids, row))[:k]] for row in d2]
 
 
-@pytest.mark.parametrize("leaf,block", [(10**6, 10**6), (50, 10**6), (50, 40), (8, 7)])
+@pytest.mark.parametrize("leaf,block", [(10**6, 10**6), (50, 10**6), (50, 40), (60, 25)])
 def test_neighbours_equal_brute_force(spark, leaf, block):
     """Small integer coordinates make ties common; a third of all rows is one point."""
     rng = np.random.default_rng(4)
