@@ -368,7 +368,7 @@ def pca_scores(spark, sf_dir):
 
 
 @query
-def union_pipeline_scored(spark, sf_dir):
+def union_scored(spark, sf_dir):
     data = model_data(spark, sf_dir)
     model = closed_form.fit(data.train, closed_form.FITTERS["UNION"], data.features)
     return closed_form.predict(data.test, model).select(ROW_ID, "label", "prediction", "probability")
