@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import licenses, mixing, secret_scan, token_counts
+from riskloom.llm import licenses, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -42,3 +42,13 @@ def op6_secret_scan(spark, sf_dir):
 
 
 LLM_ORACLE["op6_secret_scan"] = secret_scan.secrets_sql()
+
+
+@query
+def op8_quality_scores(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
