@@ -18,11 +18,11 @@ WORDS = 5
 THRESHOLD = (75, 100)
 COLLECTIONS, DEPTH = 24, 3  # collections of minhashes, and minhashes in each
 BLOCK = 1_000  # documents of a group that meet in one task
-CHUNK = 1 << 14  # shingles hashed at once
+CHUNK = 1 << 11  # shingles hashed at once
 
 
 def _salts() -> np.ndarray:
-    return mix64(np.arange(1, COLLECTIONS * DEPTH + 1, dtype=U) * U(0x9E3779B97F4A7C15))
+    return mix64(np.arange(1, COLLECTIONS * DEPTH + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
 def collections_of(found: np.ndarray) -> np.ndarray:
@@ -30,9 +30,11 @@ def collections_of(found: np.ndarray) -> np.ndarray:
     salts = _salts()[:, None]
     least = np.full(len(salts), np.iinfo(U).max, U)
     for at in range(0, len(found), CHUNK):
-        part = (found[None, at : at + CHUNK] ^ salts) * U(0xBF58476D1CE4E5B9)
+        part = found[None, at : at + CHUNK] * salts
         part ^= part >> U(32)
-        np.minimum(least, (part * U(0x94D049BB133111EB)).min(axis=1), out=least)
+        part *= U(0xBF58476D1CE4E5B9)
+        part ^= part >> U(29)
+        np.minimum(least, part.min(axis=1), out=least)
     grid = least.reshape(COLLECTIONS, DEPTH)
     out = np.arange(COLLECTIONS, dtype=U)
     for k in range(DEPTH):
@@ -82,10 +84,8 @@ def verified_links(first: list[np.ndarray], second: list[np.ndarray] | None, mar
         partners = np.flatnonzero(near)
         if not len(partners):
             continue
-        at = np.searchsorted(vocabulary, own)
-        at = at[(at < len(vocabulary))]
-        hit = vocabulary[at]
-        at = at[np.isin(hit, own, assume_unique=True)]
+        at = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+        at = at[vocabulary[at] == own]
         mark[at] = True
         if len(partners) * 4 < len(others):
             common = np.array([np.count_nonzero(mark[ids[offsets[j] : offsets[j + 1]]]) for j in partners])
