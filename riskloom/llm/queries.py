@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import licenses, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -52,3 +52,12 @@ def op8_quality_scores(spark, sf_dir):
 @query
 def op2_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs)
+
+
+LLM_ORACLE["op7_line_dedup"] = line_dedup.lines_sql()
