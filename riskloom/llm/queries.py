@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import decontaminate, embedding_dedup, licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -61,3 +61,27 @@ def op7_line_dedup(spark, sf_dir):
 
 
 LLM_ORACLE["op7_line_dedup"] = line_dedup.lines_sql()
+
+
+@query
+def op9_benchmark_leaks(spark, sf_dir):
+    return decontaminate.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_near_vectors(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# Exact all-pairs links, with components by spreading the least id.
+LLM_ORACLE_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS r FROM v),
+k AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE a.r > 0 AND b.r > 0 AND list_dot_product(a.e, b.e) / (a.r * b.r) >= 0.93),
+c AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT c.x, k.y FROM c JOIN k ON c.y = k.x),
+m AS (SELECT x, min(y) AS component_id FROM c GROUP BY x)
+SELECT e.vec_id, (SELECT count(*) FROM k WHERE k.x = e.vec_id) AS n_links, m.component_id, e.vec_id = m.component_id AS kept
+FROM embeddings e JOIN m ON m.x = e.vec_id
+"""
+LLM_ORACLE["op10_near_vectors"] = LLM_ORACLE_VECTORS
