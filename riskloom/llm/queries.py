@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate, embedding_dedup, licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import decontaminate, embedding_dedup, html_extract, licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -85,3 +85,8 @@ SELECT e.vec_id, (SELECT count(*) FROM k WHERE k.x = e.vec_id) AS n_links, m.com
 FROM embeddings e JOIN m ON m.x = e.vec_id
 """
 LLM_ORACLE["op10_near_vectors"] = LLM_ORACLE_VECTORS
+
+
+@query
+def op3_page_texts(spark, sf_dir):
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
