@@ -10,7 +10,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ascii_lower, text_or_empty
+from riskloom.llm.common import text_or_empty
 from riskloom.session import pin
 
 MAX_EXACT = 64  # strings followed at once while deriving trigrams
@@ -64,10 +64,16 @@ def _and(*queries):
 def _or(*queries):
     if any(q == ALWAYS for q in queries):
         return ALWAYS
-    flat = tuple(dict.fromkeys(queries))
+    flat = dict.fromkeys(queries)
+    # An arm that asks for more than another adds nothing.
+    flat = tuple(q for q in flat if not any(p != q and _asks(p) < _asks(q) for p in flat))
     return flat[0] if len(flat) == 1 else ("or", flat)
 
 
+def _asks(query) -> frozenset:
+    return frozenset([query] if isinstance(query, str) else query[1] if query[0] == "and" else [query])
+
+
 def _of_strings(strings: set[str]):
     """Each match contains one of these strings."""
     if not strings or min(map(len, strings)) < 3:
@@ -142,9 +148,11 @@ def holds(query, present: Column) -> Column:
 
 def build_index(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """Postings (trigram, content) of the trigrams that some rule asks for."""
-    folded = ascii_lower(F.col("text"))
-    own = F.array_compact(F.array(*[F.when(folded.contains(t), F.lit(t)) for t in trigrams]))
-    return texts.select("content", F.explode(own).alias("trigram"))
+    # Lower-casing more than A-Z can only admit more; the lambda's variable holds the
+    # lowered text, which is made once and not once per trigram.
+    wanted = F.array(*[F.lit(t) for t in trigrams])
+    own = F.transform(F.array(F.lower("text")), lambda low: F.filter(wanted, lambda t: F.contains(low, t)))
+    return texts.select("content", F.explode(F.get(own, F.lit(0))).alias("trigram"))
 
 
 def candidates(index: DataFrame, queries: dict) -> DataFrame:
@@ -198,7 +206,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     indexed = {k: q for k, q in queries.items() if q != ALWAYS}
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("content", F.md5("text"))
     wanted = sorted(set().union(*map(trigrams_of, indexed.values()))) if indexed else []
-    found = pin(candidates(build_index(texts, wanted).distinct(), indexed), "secret-candidates")
+    found = pin(candidates(build_index(texts, wanted), indexed), "secret-candidates")
 
     def located(kinds: list[Rule], frame: DataFrame, admitted: Column | None) -> DataFrame:
         lists = []
