@@ -161,6 +161,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     )
 
 
+def _local_pass(params: bytes, turn: int):
+    """One shard's pass over its rows from the shared parameters."""
+
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        net = Network.load(params)
+        pdf = pdf.sort_values("place")
+        order = np.random.default_rng(turn).permutation(len(pdf))
+        texts = [symbols(t) for t in pdf["text"]]
+        net.train([(texts[i], pdf["label"].iloc[i], pdf["weight"].iloc[i]) for i in order])
+        return pd.DataFrame({"n": [len(pdf)], "params": [net.dump()]})
+
+    return local
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> bytes:
     """Learn the network: each round, every shard trains a copy and the copies are averaged.
 
@@ -170,16 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
     rows = pin(labelled_sample(docs, labels, sample), "quality-sample")
     params = Network().dump()
     for turn in range(rounds):
-
-        def local(pdf: pd.DataFrame, params=params, turn=turn) -> pd.DataFrame:
-            net = Network.load(params)
-            pdf = pdf.sort_values("place")
-            order = np.random.default_rng(turn).permutation(len(pdf))
-            texts = [symbols(t) for t in pdf["text"]]
-            net.train([(texts[i], pdf["label"].iloc[i], pdf["weight"].iloc[i]) for i in order])
-            return pd.DataFrame({"n": [len(pdf)], "params": [net.dump()]})
-
-        learned = rows.groupBy("shard").applyInPandas(local, "n long, params binary").collect()
+        learned = rows.groupBy("shard").applyInPandas(_local_pass(params, turn), "n long, params binary").collect()
         if not learned:
             break
         share = np.array([r["n"] for r in learned]) / sum(r["n"] for r in learned)
@@ -193,14 +198,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
     return params
 
 
-def score(docs: DataFrame, params: bytes) -> DataFrame:
-    """``docs`` with ``text`` replaced by ``score``: whole texts, a batch at a time."""
+def score(docs: DataFrame, params: bytes, keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``text`` replaced by ``_rl_score``, or beside it: whole texts, a batch at a time."""
 
     def start():
         net = Network.load(params)
-        return lambda texts: {"score": [net.probability(t or "") for t in texts]}
+        return lambda texts: {"_rl_score": [net.probability(t or "") for t in texts]}
 
-    return map_batches(docs, start, "score double")
+    scored = "_rl_text" if keep_text else "text"
+    if keep_text:
+        docs = docs.withColumn(scored, F.col("text"))
+    return map_batches(docs, start, "_rl_score double", over=scored)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
@@ -214,5 +222,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rou
     """
     scored = score(docs.select("doc_id", "text"), fit(docs, labels, sample, rounds))
     return scored.select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("_rl_score").alias("score"),
+        (F.col("_rl_score") >= THRESHOLD).cast("int").alias("predicted"),
     )
