@@ -33,8 +33,13 @@ HEADLINE = [
     "corr_spearman",
     "cramers_v",
     "lr_scored",
+    "tree_scored",
     "rf_scored",
+    "rff_svm_scored",
     "gbt_scored",
+    "classified_dataset",
+    "model_ranking",
+    "rf_grid",
     "published_summary",
     "daily_landing",
     "classified_by_bayes",

@@ -42,6 +42,7 @@ TEXT_LENGTHS = {
     "purpose": 40,
 }
 
+# Fixed value: what stands for a missing category.
 MISSING = "no_inf"
 
 # Column -> prefix of its indicator columns.
@@ -56,6 +57,7 @@ PREFIXES = {
 }
 TARGET = "Risk_bad"
 TARGET_COMPLEMENT = "Risk_good"
+TARGET_LEVEL = "bad"
 
 # Own choice: right-closed age bands.
 AGE_EDGES = [18, 25, 35, 60, 120]
@@ -110,6 +112,7 @@ WAREHOUSE_TABLES = {
 
 TIME_ZONE = "America/Mazatlan"
 
+# Seed and share of the split, and numbers of folds.
 SPLIT_SEED = 42
 TEST_SHARE = 0.25
 KFOLDS = 10

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import quoted
 from riskloom.operators.features import anova_scores, principal_axes
-from riskloom.operators.moments import ByClass, Moments, all_but, class_moments, complete_rows, merge
+from riskloom.operators.moments import ByClass, Moments, all_but, class_moments, complete_rows, gaps, merge
 
 SMOOTHING = 1e-9
 
@@ -81,6 +81,18 @@ class GaussianNaiveBayes:
         ]
         return spark.createDataFrame(
             rows, "label double, feature string, prior double, mean double, variance double"
+        ).withColumn("position", F.array_position(F.lit(self.features), F.col("feature")))
+
+    @staticmethod
+    def from_table(df: DataFrame) -> "GaussianNaiveBayes":
+        rows = df.orderBy("label", "position").collect()
+        classes = list(dict.fromkeys(r["label"] for r in rows))
+        of = lambda c, name: [r[name] for r in rows if r["label"] == c]
+        return GaussianNaiveBayes(
+            of(classes[0], "feature"),
+            {c: of(c, "prior")[0] for c in classes},
+            {c: np.array(of(c, "mean")) for c in classes},
+            {c: np.array(of(c, "variance")) for c in classes},
         )
 
 
@@ -200,6 +212,20 @@ def predict(df: DataFrame, model, positive: float = 1.0) -> DataFrame:
     return _apply(complete_rows(df, model.features), model, lambda name: F.lit(float(numbers[name])), positive)
 
 
+def predict_every(df: DataFrame, model, positive: float = 1.0) -> DataFrame:
+    """``predict`` that keeps all rows and columns and adds ``unscored``.
+
+    A row that lacks features has a NULL prediction and probability, and ``unscored``
+    names them; it is NULL for the others.
+    """
+    numbers = model.numbers()
+    lacking = F.concat_ws(",", F.array_compact(F.array(*[F.when(g, F.lit(c)) for c, g in gaps(df, model.features).items()])))
+    marked = df.withColumn("unscored", F.nullif(lacking, F.lit("")))
+    scored = _apply(marked, model, lambda name: F.lit(float(numbers[name])), positive)
+    whole = F.col("unscored").isNull()
+    return scored.withColumns({c: F.when(whole, F.col(c)) for c in ("prediction", "probability")})
+
+
 def fit(df: DataFrame, fitter, features: list[str]):
     """Fit on all rows of ``df`` (with a ``label`` column) from one statistics pass."""
     moments = class_moments(df, features, products=needs_products(fitter))

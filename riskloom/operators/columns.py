@@ -69,8 +69,11 @@ def feature_names(df: DataFrame, target: str = TARGET, exclude: tuple[str, ...]
     return [c for c in numeric_columns(df) if c not in hidden]
 
 
-def design(df: DataFrame, features: list[str], target: str = TARGET, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``row id, kept columns, label, features vector``; rows with a NULL feature are skipped."""
+def design(
+    df: DataFrame, features: list[str], target: str = TARGET, keep: tuple[str, ...] = (), invalid: str = "skip"
+) -> DataFrame:
+    """``row id, kept columns, label, features vector``; rows with a NULL feature are skipped,
+    or have NaN for it if ``invalid`` is ``keep``."""
     labelled = df.select(
         ROW_ID,
         *keep,
@@ -78,7 +81,7 @@ def design(df: DataFrame, features: list[str], target: str = TARGET, keep: tuple
         *[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
     )
     assembler = VectorAssembler(
-        inputCols=[f"x{i}" for i in range(len(features))], outputCol="features", handleInvalid="skip"
+        inputCols=[f"x{i}" for i in range(len(features))], outputCol="features", handleInvalid=invalid
     )
     return assembler.transform(labelled).select(ROW_ID, *keep, "label", "features")
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.constants import AGE_EDGES, AGE_LABELS, PREFIXES, TARGET_COMPLEMENT
+from riskloom.constants import AGE_EDGES, AGE_LABELS, PREFIXES, TARGET, TARGET_COMPLEMENT, TARGET_LEVEL
 from riskloom.functions.scalars import quoted
 from riskloom.operators.columns import fill_missing, string_columns
 
@@ -124,7 +124,9 @@ def curate(df: DataFrame, levels: Levels | None = None, prefixes: dict[str, str]
     levels = levels or fit_levels(ready, list(present))
     made: dict[str, Column] = {}
     for c, prefix in present.items():
-        made.update(indicators(c, levels.values[c], prefix, drop_first=c != "risk"))
+        made.update(indicators(c, levels.values.get(c, []), prefix, drop_first=c != "risk"))
     made.pop(TARGET_COMPLEMENT, None)
+    if "risk" in present:  # also on a day without one of its classes
+        made.setdefault(TARGET, indicator("risk", TARGET_LEVEL))
     kept = [quoted(c) for c in ready.columns if c not in present]
     return ready.select(*kept, *[e.alias(name) for name, e in made.items()])

@@ -126,11 +126,13 @@ def results_summary(scored: DataFrame) -> DataFrame:
 def publish(scored: DataFrame, path: str) -> None:
     """Write the classified rows partitioned by batch and sorted inside files.
 
+    Rows are rebalanced by batch first: adaptive execution joins small batches and splits
+    large ones by measured size, so a batch has few files however many tasks wrote it.
     Sorting by purpose within a task's partition narrows the min/max range of row
     groups, so filters on it skip most of a file.
     """
     (
-        scored.sortWithinPartitions("batch_nr", "purpose")
+        scored.hint("rebalance", "batch_nr").sortWithinPartitions("batch_nr", "purpose")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_nr")

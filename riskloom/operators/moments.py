@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,15 +53,25 @@ def merge(parts: list[Moments]) -> Moments:
 
 def complete_rows(df: DataFrame, features: list[str]) -> DataFrame:
     """Rows in which every feature is present; closed-form models skip the others."""
-    kinds = {f.name: f for f in df.schema}
     whole = F.lit(True)
+    for gap in gaps(df, features).values():
+        whole = whole & ~gap
+    return df.filter(whole)
+
+
+def gaps(df: DataFrame, features: list[str]) -> dict[str, Column]:
+    """Feature -> whether a row lacks it (NULL or NaN), for features that can be lacking."""
+    kinds, out = {f.name: f for f in df.schema}, {}
     for c in features:
+        tests = []
         # Indicators can be neither NULL nor NaN: testing them would only cost time.
         if kinds[c].nullable:
-            whole = whole & quoted(c).isNotNull()
+            tests.append(quoted(c).isNull())
         if isinstance(kinds[c].dataType, (T.DoubleType, T.FloatType)):
-            whole = whole & ~F.isnan(quoted(c))
-    return df.filter(whole)
+            tests.append(F.coalesce(F.isnan(quoted(c)), F.lit(False)))
+        if tests:
+            out[c] = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+    return out
 
 
 def class_moments(

@@ -6,8 +6,11 @@ import itertools
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +18,28 @@ from pyspark.sql import functions as F
 from riskloom.constants import BOOSTED_GRID, DEEPEST_TREE, FOREST_GRID, KFOLDS, ROW_ID
 from riskloom.operators import closed_form
 from riskloom.operators.columns import design
-from riskloom.operators.iterative import boosted_trees, iterative_models, random_forest, subset_size
+from riskloom.operators.iterative import boosted_trees, iterative_models, random_forest
 from riskloom.operators.metrics import score
 from riskloom.operators.moments import class_moments
 from riskloom.operators.neighbors import knn_cross_predict
+from riskloom.session import pin, run_path
 
 
-def cross_predict(df: DataFrame, estimator, folds: int = KFOLDS, threads: int = 4) -> DataFrame:
+def sampled(df: DataFrame, fit_rows: int | None) -> DataFrame:
+    """At most ``fit_rows`` labelled rows, those whose ids hash lowest."""
+    if fit_rows is None:
+        return df
+    return df.orderBy(F.xxhash64(ROW_ID), ROW_ID).limit(fit_rows)
+
+
+def cross_predict(
+    df: DataFrame, estimator, folds: int = KFOLDS, threads: int = 4, fit_rows: int | None = None
+) -> DataFrame:
     """Out-of-fold predictions of a Spark ML estimator over a ``features`` vector."""
     here = F.col("fold")
 
     def held_out(fold: int) -> DataFrame:
-        model = estimator.fit(df.filter(here != fold))
+        model = estimator.fit(sampled(df.filter(here != fold), fit_rows))
         return model.transform(df.filter(here == fold)).select(ROW_ID, "fold", "label", "prediction")
 
     with ThreadPool(threads) as pool:
@@ -48,11 +61,6 @@ def summarize(scores: DataFrame) -> DataFrame:
     )
 
 
-def summary_lines(summary: DataFrame) -> DataFrame:
-    """The ranking as printable lines, ``name: mean (std)``."""
-    return summary.select(F.format_string("%s: %f (%f)", "model", "mean_score", "std_score").alias("line"))
-
-
 def closed_form_scores(df: DataFrame, features: list[str], metric: str = "recall") -> DataFrame:
     """Fold scores of the models that need one statistics pass for all folds."""
     moments = class_moments(df, features, "fold")
@@ -70,16 +78,21 @@ def compare_models(
     features: list[str],
     metric: str = "recall",
     folds: int = KFOLDS,
-    full: bool = False,
+    fit_rows: int | None = None,
     threads: int = 4,
+    models=iterative_models,
 ) -> DataFrame:
-    """Fold scores of all eight models on rows with ``label`` and ``fold``."""
-    assembled = design(df, features, target="label", keep=("fold",)).persist()
-    n_rows = assembled.count()
+    """Fold scores of all eight models on rows with ``label`` and ``fold``.
+
+    ``fit_rows`` bounds the labelled rows that an iterative fit learns from (None: all);
+    every row is scored.
+    """
+    assembled = pin(design(df, features, target="label", keep=("fold",)), "compared")
+    n_rows = assembled.count() * (folds - 1) // folds
     parts = [closed_form_scores(df, features, metric)]
     parts.append(fold_scores(knn_cross_predict(df, features), "KNN", metric))
-    for name, estimator in iterative_models(n_rows, len(features), full).items():
-        predictions = cross_predict(assembled, estimator, folds, threads)
+    for name, estimator in models(min(n_rows, fit_rows or n_rows), len(features)).items():
+        predictions = cross_predict(assembled, estimator, folds, threads, fit_rows)
         parts.append(fold_scores(predictions, name, metric))
     return reduce(DataFrame.unionByName, parts)
 
@@ -115,20 +128,115 @@ def _search(df: DataFrame, estimator, points: list[dict], maps: list[dict], fold
     return table, found.bestModel
 
 
+def node_arrays(model, spark: SparkSession) -> list[tuple[np.ndarray, ...]]:
+    """(feature, threshold, left, right, positive share) of each tree of a fitted forest.
+
+    Read from the saved model's node table. ``feature`` is -1 at a leaf. The share is that
+    of the node's own training rows, so a tree cut off at any depth can vote.
+    """
+    path = run_path(spark, "forest")
+    model.write().save(path)
+    node = F.col("nodeData")
+    table = spark.read.parquet(f"{path}/data").select(
+        "treeID",
+        node["id"].alias("id"),
+        F.when(node["leftChild"] < 0, -1).otherwise(node["split"]["featureIndex"]).alias("feature"),
+        F.coalesce(F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)), F.lit(0.0)).alias("threshold"),
+        node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"),
+        (F.get(node["impurityStats"], F.lit(1)) / F.aggregate(node["impurityStats"], F.lit(0.0), lambda a, x: a + x)).alias("share"),
+    )
+    nodes = table.orderBy("treeID", "id").toPandas()
+    names = ["feature", "threshold", "left", "right", "share"]
+    return [tuple(g[n].to_numpy() for n in names) for _, g in nodes.groupby("treeID", sort=True)]
+
+
+def truncated_votes(trees, depths: list[int], counts: list[int], x: np.ndarray) -> np.ndarray:
+    """Predictions (rows x depths x counts) of the first n trees cut off at each depth."""
+    votes = np.zeros((len(x), len(depths), len(counts)))
+    upto = np.zeros((len(x), len(depths)))
+    for t, (feature, threshold, left, right, share) in enumerate(trees, 1):
+        at, rows = np.zeros(len(x), int), np.arange(len(x))
+        for step in range(max(depths) + 1):
+            for i, depth in enumerate(depths):
+                if depth == step:
+                    upto[:, i] += share[at]
+            goes_left = x[rows, np.maximum(feature[at], 0)] <= threshold[at]
+            at = np.where(feature[at] < 0, at, np.where(goes_left, left[at], right[at]))
+        for j, n in enumerate(counts):
+            if n == t:
+                votes[:, :, j] = upto / t
+    return votes > 0.5
+
+
+def forest_grid(
+    df: DataFrame,
+    n_features: int,
+    grid: dict[str, list] = FOREST_GRID,
+    folds: int = 5,
+    fit_rows: int | None = None,
+    threads: int = 4,
+) -> DataFrame:
+    """The whole grid from one forest per fold and number of features.
+
+    The first n trees of a forest are a forest of n trees, and a tree cut off at a depth,
+    where a node answers with its own rows' shares, is a tree of that depth. So the largest
+    and deepest forest of each ``max_features`` scores every depth and count in one pass
+    over the held-out rows. ``fit_rows`` bounds the labelled rows that a forest learns from
+    (None: all); every row is scored.
+    """
+    points, counts = grid_points(grid), sorted(grid["n_estimators"])
+    depths = [d or DEEPEST_TREE for d in grid["max_depth"]]
+    spark = df.sparkSession
+    train = [pin(sampled(df.filter(F.col("fold") != f), fit_rows), "grid-train") for f in range(folds)]
+
+    def fitted(fold: int, wanted: int) -> DataFrame:
+        model = random_forest(n_features, max(counts), max(depths), wanted).fit(train[fold])
+        return _grid_hits(df.filter(F.col("fold") == fold), node_arrays(model, spark), depths, counts, fold, wanted)
+
+    with ThreadPool(threads) as pool:
+        jobs = list(itertools.product(range(folds), grid["max_features"]))
+        parts = pool.starmap(inheritable_thread_target(spark)(fitted), jobs)
+    hits = reduce(DataFrame.unionAll, parts)
+    recall = F.sum("hits") / F.sum("positives")
+    per_fold = hits.groupBy("fold", "wanted", "depth", "n").agg(F.coalesce(recall, F.lit(0.0)).alias("value"))
+    named = [
+        (i, ", ".join(f"{k}={v}" for k, v in p.items()), p["max_features"], p["max_depth"] or DEEPEST_TREE, p["n_estimators"])
+        for i, p in enumerate(points)
+    ]
+    table = df.sparkSession.createDataFrame(named, "grid_index int, params string, wanted int, depth int, n int")
+    return (
+        table.join(per_fold, ["wanted", "depth", "n"])
+        .groupBy("grid_index", "params")
+        .agg(F.avg("value").alias("mean_score"), F.stddev_pop("value").alias("std_score"))
+    )
+
+
+def _grid_hits(held: DataFrame, trees, depths: list[int], counts: list[int], fold: int, wanted: int) -> DataFrame:
+    """Per batch of held-out rows and grid point: positives, and how many are found."""
+
+    def score_batches(batches):
+        for pdf in batches:
+            positive = pdf["label"].to_numpy() == 1
+            found = truncated_votes(trees, depths, counts, np.stack(pdf["x"].to_numpy()))[positive].sum(axis=0)
+            rows = [
+                (fold, wanted, d, n, int(found[i, j]), int(positive.sum()))
+                for i, d in enumerate(depths)
+                for j, n in enumerate(counts)
+            ]
+            yield pd.DataFrame(rows, columns=["fold", "wanted", "depth", "n", "hits", "positives"])
+
+    values = held.select("label", vector_to_array("features").alias("x"))
+    return values.mapInPandas(score_batches, "fold int, wanted int, depth int, n int, hits long, positives long")
+
+
 def forest_grid_search(
-    df: DataFrame, n_features: int, grid: dict[str, list] = FOREST_GRID, folds: int = 5, threads: int = 4
+    df: DataFrame, n_features: int, grid: dict[str, list] = FOREST_GRID, folds: int = 5, fit_rows: int | None = None
 ):
-    """Search a random forest over depth, trees and features per split."""
-    forest, points = random_forest(n_features), grid_points(grid)
-    maps = [
-        {
-            forest.maxDepth: p["max_depth"] or DEEPEST_TREE,
-            forest.numTrees: p["n_estimators"],
-            forest.featureSubsetStrategy: subset_size(p["max_features"], n_features),
-        }
-        for p in points
-    ]
-    return _search(df, forest, points, maps, folds, threads)
+    """``forest_grid``, and the best point's forest fitted on all rows."""
+    table = pin(forest_grid(df, n_features, grid, folds, fit_rows), "forest-grid")
+    best = grid_points(grid)[best_of(table).first()["grid_index"]]
+    return table, random_forest(n_features, best["n_estimators"], best["max_depth"], best["max_features"]).fit(df)
 
 
 def boosted_grid_search(

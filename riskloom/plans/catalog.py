@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 
 from pyspark.ml.functions import vector_to_array
@@ -15,9 +16,9 @@ from riskloom.functions.scalars import batch_number, local_time
 from riskloom.operators import closed_form, columns, encode, features, folds, governance, iterative, metrics
 from riskloom.operators import neighbors, profile, selection
 from riskloom.operators.conform import conform
-from riskloom.operators.moments import all_but, class_moments, merge
-from riskloom.plans import train
-from riskloom.session import run_path
+from riskloom.operators.moments import all_but, class_moments, gaps, merge
+from riskloom.plans import batch, train
+from riskloom.session import pin, run_path
 from riskloom.sources import files, warehouse
 from riskloom.sources.applications import applications, table
 from riskloom.sources.promote import promote
@@ -83,8 +84,8 @@ def curated_features(spark, sf_dir):
 
 @query
 def encode_all_strings(spark, sf_dir):
-    ready = columns.fill_missing(applications(spark, sf_dir))
-    return encode.one_hot_encoder(ready.select(ROW_ID, "sex", "housing", "purpose", "saving_accounts"))[0]
+    """Every text column of the applicants."""
+    return encode.one_hot_encoder(columns.fill_missing(applications(spark, sf_dir)))[0]
 
 
 @query
@@ -402,7 +403,7 @@ def profile_overview(spark, sf_dir):
 
 @query
 def profile_overview_lines(spark, sf_dir):
-    return rounded(profile.overview(lines(spark, sf_dir).select("l_orderkey", "l_linenumber")), "missing_share")
+    return rounded(profile.overview(lines(spark, sf_dir)), "missing_share")
 
 
 @query
@@ -470,12 +471,19 @@ def cramers_v(spark, sf_dir):
 
 @query
 def nullity_corr(spark, sf_dir):
-    found = profile.nullity_correlation(profiled(spark, sf_dir), ["saving_accounts", "checking_account", "age"])
+    rows = applications(spark, sf_dir).drop(ROW_ID)
+    found = profile.nullity_correlation(rows, rows.columns)
     return rounded(found, "nullity_correlation")
 
 
 @query
 def duplicates(spark, sf_dir):
+    return profile.duplicate_rows(lines(spark, sf_dir))
+
+
+@query
+def duplicate_keys(spark, sf_dir):
+    """Order lines whose number occurs more than once in their order."""
     return profile.duplicate_rows(lines(spark, sf_dir).select("l_orderkey", "l_linenumber"))
 
 
@@ -492,13 +500,15 @@ def head_tail(spark, sf_dir):
 # Iterative models and selection -------------------------------------------------
 
 
+# Labelled rows that a single fit learns from, and a fit in the queries with many fits;
+# every row is scored.
+FIT_ROWS, COMPARE_FIT_ROWS, GRID_FIT_ROWS = 20_000, 1_000, 1_000
+
+
 def fitted_scores(spark, sf_dir, name: str) -> DataFrame:
     data = model_data(spark, sf_dir)
-    train_rows = columns.design(data.train, data.features, target="label").persist()
-    try:
-        model = iterative.iterative_models(train_rows.count(), len(data.features))[name].fit(train_rows)
-    finally:
-        train_rows.unpersist()
+    rows = pin(selection.sampled(columns.design(data.train, data.features, target="label"), FIT_ROWS), "fit-rows")
+    model = iterative.iterative_models(rows.count(), len(data.features))[name].fit(rows)
     scored = model.transform(columns.design(data.test, data.features, target="label"))
     return scored.select(ROW_ID, "label", "prediction")
 
@@ -530,9 +540,11 @@ def gbt_scored(spark, sf_dir):
 
 @query
 def model_ranking(spark, sf_dir):
-    """All eight models by cross-validated recall."""
+    """All eight models by cross-validated recall, at the compared sizes."""
     data = model_data(spark, sf_dir)
-    scores = selection.compare_models(folds.with_kfold(data.train), data.features, threads=8)
+    scores = selection.compare_models(
+        folds.with_kfold(data.train), data.features, fit_rows=COMPARE_FIT_ROWS, threads=8
+    )
     return selection.summarize(scores)
 
 
@@ -544,14 +556,9 @@ def stratified_design(spark, sf_dir) -> tuple[DataFrame, int]:
 
 @query
 def rf_grid(spark, sf_dir):
+    """All 120 points of the forest grid from one forest per fold and feature count."""
     rows, p = stratified_design(spark, sf_dir)
-    return selection.forest_grid_search(rows, p, train.SMOKE_FOREST_GRID, threads=8)[0]
-
-
-@query
-def gbt_grid(spark, sf_dir):
-    rows, _ = stratified_design(spark, sf_dir)
-    return selection.boosted_grid_search(rows, train.SMOKE_BOOSTED_GRID, rounds=3, threads=8)[0]
+    return selection.forest_grid(rows, p, fit_rows=GRID_FIT_ROWS)
 
 
 # Governance, sources and sinks --------------------------------------------------
@@ -650,15 +657,92 @@ def daily_landing(spark, sf_dir):
 
 @query
 def classified_dataset(spark, sf_dir):
-    """Every applicant with the class given by the fixed forest."""
+    """Every applicant with the class given by the fixed forest, in one projection."""
     data = model_data(spark, sf_dir)
-    model, _ = train.fit_fixed_forest(data, max_depth=8)
-    scored = model.transform(columns.design(data.rows, data.features, target="label"))
-    return columns.attach(applications(spark, sf_dir), scored.select(ROW_ID, "prediction"))
+    model, _ = train.fit_fixed_forest(data, fit_rows=FIT_ROWS)
+    rows = applications(spark, sf_dir)
+    whole = columns.log_column(encode.curate(rows.withColumn("_row", F.struct(*rows.columns))))
+    lacking = F.array_compact(F.array(*[F.when(g, F.lit(c)) for c, g in gaps(whole, data.features).items()]))
+    marked = whole.withColumn("_whole", F.size(lacking) == 0)
+    scored = model.transform(columns.design(marked, data.features, keep=("_row", "_whole"), invalid="keep"))
+    return scored.select("_row.*", F.when(F.col("_whole"), F.col("prediction")).alias("prediction"))
 
 
 @query
 def classified_by_bayes(spark, sf_dir):
-    """Every applicant with the class given by naive Bayes."""
-    scored = bayes_scored(spark, sf_dir, "rows").select(ROW_ID, "prediction")
-    return columns.attach(applications(spark, sf_dir), scored)
+    """Every applicant with the class given by naive Bayes, in one projection."""
+    rows = applications(spark, sf_dir)
+    return batch.classify(rows, batch.fit_state(rows)).drop("probability", "unscored")
+
+
+def raw_files(spark, sf_dir) -> str:
+    """A folder of CSV files with faults: other column orders, words for numbers, amounts of 0."""
+    rows = applications(spark, sf_dir)
+    names = dict(zip(rows.columns, [f.name for f in files.csv_schema()]))
+    key = F.col(ROW_ID)
+    dirty = rows.withColumns(
+        {
+            "age": F.when(key % 97 == 0, "abc").otherwise(F.col("age").cast("string")),
+            "credit_amount": F.when(key % 89 == 1, 0.0).otherwise(F.col("credit_amount")),
+            "job": F.when(key % 101 != 2, F.col("job")),
+            "purpose": F.when(key % 103 == 3, F.repeat("purpose", F.lit(20))).otherwise(F.col("purpose")),
+        }
+    )
+    path = run_path(spark, "raw")
+    for order, part in ((1, key % 2 == 0), (-1, key % 2 == 1)):
+        turned = dirty.filter(part).select(*rows.columns[::order]).withColumnsRenamed(names)
+        turned.write.mode("append").option("header", True).csv(path)
+    return path
+
+
+@query
+def batch_published(spark, sf_dir):
+    """What the daily batch makes of faulty files: every row is quarantined or published."""
+    paths = batch.Paths(run_path(spark, "lake"), raw_files(spark, sf_dir))
+    batch.run_batch(spark, paths, datetime(2023, 5, 12))
+    bad = spark.read.parquet(paths.quarantine).select(ROW_ID, F.concat(F.lit("quarantined "), "violations").alias("outcome"))
+    done = spark.read.parquet(paths.results).select(
+        ROW_ID, F.coalesce(F.concat(F.lit("unscored "), "unscored"), F.when(F.col("prediction").isNotNull(), "scored")).alias("outcome")
+    )
+    return bad.unionAll(done).select(F.col(ROW_ID).cast("bigint").alias(ROW_ID), "outcome")
+
+
+@query
+def dated_landing(spark, sf_dir):
+    """Applicants from files with a day in their names, one partition per day."""
+    source, staged, landed = (run_path(spark, n) for n in ("dated", "staged", "landed"))
+    rows = applications(spark, sf_dir)
+    names = dict(zip(rows.columns, [f.name for f in files.csv_schema()]))
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for day in (12, 13):
+        part = rows.filter(F.col(ROW_ID) % 2 == day % 2).withColumnsRenamed(names)
+        part.coalesce(1).write.option("header", True).csv(f"{staged}/{day}")
+        fs = fs_path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(fs_path(source))
+        file = next(iter(files.file_headers(spark, f"{staged}/{day}").values()))[0]
+        fs.rename(fs_path(file), fs_path(f"{source}/credit_{day}052023.csv"))
+    files.land_daily(spark, source, landed)
+    return columns.canonical_names(spark.read.parquet(landed)).select(
+        ROW_ID, "purpose", "credit_amount", F.col("batch_nr").cast("bigint").alias("batch_nr")
+    )
+
+
+@query
+def lineage_append(spark, sf_dir):
+    """The lineage of two loads of the applicants, appended one after the other."""
+    log = run_path(spark, "lineage")
+    for step, day in (("raw", 12), ("curation", 13)):
+        n = applications(spark, sf_dir).filter(F.dayofmonth(F.lit("2023-05-12").cast("date")) <= day).count()
+        record = governance.lineage_record(spark, step, "applications", step, datetime(2023, 5, day, 7, 30), n, n)
+        governance.append_lineage(record, log)
+    kept = spark.read.parquet(log)
+    stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp")
+    return kept.select("batch_nr", stamp, "step", "source", "destination", "rows_out")
+
+
+@query
+def gnb_roc(spark, sf_dir):
+    """The ROC curve of naive Bayes' probability (to six places) on the test rows."""
+    scored = rounded(bayes_scored(spark, sf_dir, "test"), "probability")
+    curve = metrics.roc_curve(scored, "probability")
+    return rounded(curve, *[c for c in curve.columns if c in ("tpr", "fpr", "threshold")])

@@ -5,6 +5,8 @@ Level lists are stated here, while the DataFrame code learns them from the data.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 APPS = """
 SELECT o.o_orderkey AS application_id,
        CAST(19 + o.o_custkey % 57 AS INT) AS age,
@@ -24,6 +26,13 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
+APP_COLUMNS = ["age", "sex", "job", "housing", "saving_accounts", "checking_account", "credit_amount", "duration", "purpose", "risk"]
+GAPPED = ("saving_accounts", "checking_account")
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
 # Fixed values of the test tables: sorted levels per column, first one included.
 LEVELS = {
     "purpose": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
@@ -204,11 +213,11 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
 """
 
 
-def roc(drop: bool) -> str:
+def roc(drop: bool, rows: str = f"({RULED})", head: str = "WITH") -> str:
     keep = "WHERE i = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg" if drop else ""
     return f"""
-WITH g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
-           FROM ({RULED}) GROUP BY score),
+{head} g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+           FROM {rows} GROUP BY score),
 c AS (SELECT score, pos, neg, row_number() OVER w AS i, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn,
       lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
       sum(pos) OVER () AS ap, sum(neg) OVER () AS an FROM g WINDOW w AS (ORDER BY score DESC))
@@ -306,10 +315,10 @@ ORACLE: dict[str, str] = {
     "applicants": APPS,
     "fill_missing": f"SELECT * EXCLUDE (age_cat) FROM ({READY})",
     "curated_features": CURATED,
-    "encode_all_strings": "SELECT application_id, "
+    "encode_all_strings": "SELECT application_id, age, job, credit_amount, duration, "
     + ", ".join(
         case(c, level, f"{c}_{level}")
-        for c in ("sex", "housing", "purpose", "saving_accounts")
+        for c in ("sex", "housing", "saving_accounts", "checking_account", "purpose", "risk")
         for level in LEVELS[c][1:]
     )
     + f" FROM ({READY})",
@@ -401,7 +410,7 @@ ORACLE: dict[str, str] = {
  SELECT 0 AS component, round(big, 6) AS variance, round(big / total, 6) AS share FROM e
  UNION ALL SELECT 1, round(total - big, 6), round((total - big) / total, 6) FROM e""",
     "profile_overview": _overview(APPS, _NUM + _TEXT),
-    "profile_overview_lines": _overview("SELECT l_orderkey, l_linenumber FROM lineitem", ["l_orderkey", "l_linenumber"]),
+    "profile_overview_lines": _overview("SELECT * FROM lineitem", LINE_COLUMNS),
     "profile_columns": f"WITH a AS ({APPS}), s AS ({_SUMMARY}) "
     + """SELECT "column", kind, n_rows, n_null, round(null_share, 6) AS null_share, n_distinct,
  round(distinct_share, 6) AS distinct_share FROM s""",
@@ -448,10 +457,15 @@ ORACLE: dict[str, str] = {
  SELECT left_column, right_column, round(sqrt(phi / (least(r, k) - 1)), 6) AS cramers_v,
   round(sqrt(greatest(0, phi - (k - 1) * (r - 1) / (n - 1))
    / least(r - (r - 1) * (r - 1) / (n - 1) - 1, k - (k - 1) * (k - 1) / (n - 1) - 1)), 6) AS cramers_v_corrected FROM s""",
-    "nullity_corr": f"""WITH a AS ({APPS}), f AS (SELECT (saving_accounts IS NULL)::INT AS s, (checking_account IS NULL)::INT AS c FROM a)
- SELECT 'saving_accounts' AS left_column, 'checking_account' AS right_column, round(corr(s, c), 6) AS nullity_correlation FROM f
- UNION ALL SELECT 'saving_accounts', 'age', NULL UNION ALL SELECT 'checking_account', 'age', NULL""",
-    "duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "nullity_corr": f"WITH a AS ({APPS}) "
+    + " UNION ALL ".join(
+        f"SELECT '{x}' AS left_column, '{y}' AS right_column, "
+        + (f"(SELECT round(corr(({x} IS NULL)::INT, ({y} IS NULL)::INT), 6) FROM a)" if (x, y) == GAPPED else "NULL")
+        + " AS nullity_correlation"
+        for x, y in combinations(APP_COLUMNS, 2)
+    ),
+    "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+    "duplicates": """SELECT *, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
     "profile_alerts": f"WITH a AS ({APPS}), s AS ({_SUMMARY}), v AS ({tall(['application_id', *_NUM], 'a', 'DOUBLE')}), "
     + f"t AS ({tall(_TEXT, 'a', 'VARCHAR')}), c AS ({pairs(['application_id', *_NUM], 'corr({a}, {b})', 'r', 'a')}), "
     + """f AS (SELECT "column", 'constant' AS alert, CAST(n_distinct AS DOUBLE) AS value FROM s WHERE kind = 'constant'
@@ -505,6 +519,20 @@ ORACLE: dict[str, str] = {
  checking_account AS check_account, duration, purpose FROM ({APPS})""",
     "daily_landing": """SELECT CAST(strftime(ts - INTERVAL 7 HOUR, '%Y%m%d') AS BIGINT) AS batch_nr, count(*) AS n_rows,
  round(sum(value), 2) AS value FROM events GROUP BY batch_nr""",
+    "gnb_roc": roc(True, "(SELECT label, round(probability, 6) AS score FROM scored WHERE split = 'test')", GNB.rstrip() + ","),
+    "batch_published": f"""WITH d AS (
+      SELECT application_id, application_id % 97 = 0 AS bad_age, application_id % 103 = 3 AS long_purpose,
+             application_id % 89 = 1 AS no_amount, application_id % 101 = 2 AS no_job FROM ({APPS}))
+      SELECT application_id, CASE
+        WHEN bad_age AND long_purpose THEN 'quarantined age:not_numeric,purpose:longer_than_40'
+        WHEN bad_age THEN 'quarantined age:not_numeric' WHEN long_purpose THEN 'quarantined purpose:longer_than_40'
+        WHEN no_job AND no_amount THEN 'unscored job,credit_amount' WHEN no_job THEN 'unscored job'
+        WHEN no_amount THEN 'unscored credit_amount' ELSE 'scored' END AS outcome FROM d""",
+    "dated_landing": f"""SELECT application_id, purpose, credit_amount,
+      CASE WHEN application_id % 2 = 0 THEN 20230512 ELSE 20230513 END AS batch_nr FROM ({APPS})""",
+    "lineage_append": f"""SELECT b AS batch_nr, t AS timestamp, s AS step, 'applications' AS source, s AS destination, n AS rows_out
+      FROM (VALUES (20230512, '2023-05-12 07:30:00', 'raw'), (20230513, '2023-05-13 07:30:00', 'curation')) v(b, t, s),
+           (SELECT count(*) AS n FROM ({APPS}))""",
     "classified_by_bayes": GNB
     + f"SELECT a.*, s.prediction FROM ({APPS}) a JOIN scored s USING (application_id)",
 }

@@ -1,9 +1,9 @@
-"""Training job: compare, search, fit and evaluate; every result becomes a table."""
+"""Compare, search, fit and evaluate models; every result becomes a table."""
 
 from __future__ import annotations
 
-import argparse
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from riskloom.constants import BOOSTED_GRID, FIXED_FOREST, FOREST_GRID, KFOLDS,
 from riskloom.operators import closed_form
 from riskloom.operators.columns import design, feature_names, log_column
 from riskloom.operators.folds import with_kfold, with_split, with_stratified_kfold
-from riskloom.operators.iterative import random_forest
+from riskloom.operators.iterative import iterative_models, random_forest
 from riskloom.operators.metrics import classification_report, confusion_matrix, roc_curve, score
 from riskloom.operators.selection import (
     best_of,
@@ -21,22 +21,12 @@ from riskloom.operators.selection import (
     compare_models,
     fold_scores,
     forest_grid_search,
+    sampled,
     summarize,
 )
-from riskloom.session import build_session, pin, spread
+from riskloom.session import pin, spread
 from riskloom.sources.files import read_parquet, write_parquet
 
-# Small grids for a quick run; the full ones are in ``constants``.
-SMOKE_FOREST_GRID = {"max_depth": [3, 7], "n_estimators": [5], "max_features": [4, 20]}
-SMOKE_BOOSTED_GRID = {
-    "max_depth": [3, 5],
-    "min_child_weight": [3],
-    "gamma": [0.0],
-    "subsample": [0.80],
-    "colsample_bytree": [0.80],
-}
-
-
 @dataclass
 class TrainingData:
     rows: DataFrame
@@ -63,10 +53,14 @@ def pinned(data: TrainingData) -> TrainingData:
     return TrainingData(pin(spread(data.rows, ROW_ID), "features"), data.features)
 
 
-def fit_fixed_forest(data: TrainingData, max_depth: int | None = 12, keep: tuple[str, ...] = ()):
-    """The forest whose settings are given rather than searched; (model, scored test rows)."""
-    settings = {**FIXED_FOREST, "max_depth": max_depth}
-    train = design(data.train, data.features, target="label", keep=keep)
+def fit_fixed_forest(
+    data: TrainingData, settings: dict = FIXED_FOREST, keep: tuple[str, ...] = (), fit_rows: int | None = None
+):
+    """The forest whose settings are given rather than searched; (model, scored test rows).
+
+    ``fit_rows`` bounds the labelled rows that it learns from (None: all).
+    """
+    train = sampled(design(data.train, data.features, target="label", keep=keep), fit_rows)
     test = design(data.test, data.features, target="label", keep=keep)
     model = random_forest(len(data.features), **settings).fit(train)
     return model, model.transform(test)
@@ -77,90 +71,75 @@ def test_scores(predictions: DataFrame, model: str) -> DataFrame:
     return scores.select(F.lit(model).alias("model"), *scores.columns)
 
 
-def training_step(
-    spark: SparkSession,
-    input_loc: str,
-    output_loc: str,
-    full: bool = False,
-    folds: int = KFOLDS,
-    grid_folds: int = STRATIFIED_FOLDS,
-    threads: int = 4,
-) -> None:
-    """Run the whole training job and write its tables and models below ``output_loc``.
+@dataclass
+class Search:
+    """What is compared and searched. ``fit_rows`` bounds the labelled rows that an iterative
+    fit of the comparison learns from (None: all); every row is scored all the same."""
+
+    forest: dict = field(default_factory=lambda: FOREST_GRID)
+    boosted: dict = field(default_factory=lambda: BOOSTED_GRID)
+    rounds: int = 100
+    folds: int = KFOLDS
+    grid_folds: int = STRATIFIED_FOLDS
+    models: Callable = iterative_models
+    fit_rows: int | None = None
+    threads: int = 4
+
+
+def train_models(spark: SparkSession, curated: str, destination: str, search: Search | None = None) -> None:
+    """Compare, search, fit and evaluate; tables and models go below ``destination``.
 
     The feature table is written once to the shared folder before the many passes over
     it, so model fits read pruned columns and survive lost executors.
     """
-    data = pinned(training_data(read_parquet(spark, input_loc)))
+    search = search or Search()
+    data = pinned(training_data(read_parquet(spark, curated)))
     p = len(data.features)
+    evaluated: dict[str, DataFrame] = {}
 
     def save(df: DataFrame, name: str) -> None:
-        write_parquet(df, f"{output_loc}/{name}")
+        write_parquet(df, f"{destination}/{name}")
 
-    folded = with_kfold(data.train, folds)
-    scores = compare_models(folded, data.features, folds=folds, full=full, threads=threads)
-    save(scores, "model_scores")
-    save(summarize(read_parquet(spark, f"{output_loc}/model_scores")), "model_ranking")
+    def keep_model(model, name: str) -> None:
+        model.write().overwrite().save(f"{destination}/models/{name}")
 
-    stratified = with_stratified_kfold(data.train, k=grid_folds)
-    assembled = design(stratified, data.features, target="label", keep=("fold",)).persist()
-    test = design(data.test, data.features, target="label").persist()
+    folded = with_kfold(data.train, search.folds)
+    scores = compare_models(
+        folded, data.features, folds=search.folds, fit_rows=search.fit_rows, threads=search.threads, models=search.models
+    )
+    save(scores, "model_scores")
+    save(summarize(read_parquet(spark, f"{destination}/model_scores")), "model_ranking")
 
-    grid = FOREST_GRID if full else SMOKE_FOREST_GRID
-    table, forest = forest_grid_search(assembled, p, grid, grid_folds, threads)
+    stratified = with_stratified_kfold(data.train, k=search.grid_folds)
+    assembled = pin(design(stratified, data.features, target="label", keep=("fold",)), "stratified")
+    test = pin(design(data.test, data.features, target="label"), "test")
+    table, forest = forest_grid_search(assembled, p, search.forest, search.grid_folds, search.fit_rows)
     save(table, "forest_grid")
     save(best_of(table), "forest_best")
-    forest.write().overwrite().save(f"{output_loc}/models/forest_best")
+    keep_model(forest, "forest_best")
+    table, boosted = boosted_grid_search(assembled, search.boosted, search.rounds, search.grid_folds, search.threads)
+    save(table, "boosted_grid")
+    save(best_of(table), "boosted_best")
+    keep_model(boosted, "boosted_best")
+    evaluated["boosted_best"] = boosted.transform(test)
 
-    fixed, fixed_scored = fit_fixed_forest(data, None if full else 12)
-    fixed.write().overwrite().save(f"{output_loc}/models/forest_fixed")
-    evaluated = [test_scores(fixed_scored, "forest_fixed")]
-    matrices = {"forest_fixed": confusion_matrix(fixed_scored)}
+    fixed, evaluated["forest_fixed"] = fit_fixed_forest(data)
+    keep_model(fixed, "forest_fixed")
+    everything = design(data.rows, data.features, target="label", keep=("split",))
+    save(fixed.transform(everything).select("application_id", "split", "label", "prediction"), "scored")
 
     bayes = closed_form.fit(data.train, closed_form.FITTERS["NB"], data.features)
-    bayes_scored = closed_form.predict(data.test, bayes)
     save(bayes.to_table(spark), "models/bayes")
+    evaluated["bayes"] = closed_form.predict(data.test, bayes)
     save(test_scores(closed_form.predict(data.train, bayes), "bayes"), "bayes_training_score")
-    save(classification_report(bayes_scored), "bayes_report")
-    save(roc_curve(bayes_scored, "probability"), "bayes_roc")
-    evaluated.append(test_scores(bayes_scored, "bayes"))
-    matrices["bayes"] = confusion_matrix(bayes_scored)
+    save(classification_report(evaluated["bayes"]), "bayes_report")
+    save(roc_curve(evaluated["bayes"], "probability"), "bayes_roc")
 
-    crossed = closed_form.cross_predict(folded, closed_form.FITTERS["UNION"], data.features)
+    union = closed_form.FITTERS["UNION"]
+    crossed = closed_form.cross_predict(folded, union, data.features)
     save(summarize(fold_scores(crossed, "union", "accuracy")), "union_accuracy")
-    union = closed_form.fit(data.train, closed_form.FITTERS["UNION"], data.features)
-    union_scored = closed_form.predict(data.test, union)
-    evaluated.append(test_scores(union_scored, "union"))
-    matrices["union"] = confusion_matrix(union_scored)
-
-    boosted_grid = BOOSTED_GRID if full else SMOKE_BOOSTED_GRID
-    table, boosted = boosted_grid_search(assembled, boosted_grid, 100 if full else 5, grid_folds, threads)
-    save(table, "boosted_grid")
-    save(best_of(table), "boosted_best")
-    boosted.write().overwrite().save(f"{output_loc}/models/boosted_best")
-    boosted_scored = boosted.transform(test)
-    evaluated.append(test_scores(boosted_scored, "boosted_best"))
-    matrices["boosted_best"] = confusion_matrix(boosted_scored)
-
-    save(reduce(DataFrame.unionByName, evaluated), "test_scores")
-    save(
-        reduce(DataFrame.unionByName, [m.withColumn("model", F.lit(name)) for name, m in matrices.items()]),
-        "confusion",
-    )
-    everything = design(data.rows, data.features, target="label", keep=("split",))
-    save(fixed.transform(everything).select("application_id", "split", "label", "prediction"), "scored")
-    assembled.unpersist()
-    test.unpersist()
-
-
-def main() -> None:
-    parser = argparse.ArgumentParser()
-    parser.add_argument("--input", default="/results")
-    parser.add_argument("--output", default="/output")
-    parser.add_argument("--full", action="store_true", help="full grids and model sizes")
-    args = parser.parse_args()
-    training_step(build_session("training"), args.input, args.output, args.full)
-
+    evaluated["union"] = closed_form.predict(data.test, closed_form.fit(data.train, union, data.features))
 
-if __name__ == "__main__":
-    main()
+    save(reduce(DataFrame.unionByName, [test_scores(df, name) for name, df in evaluated.items()]), "test_scores")
+    matrices = [confusion_matrix(df).withColumn("model", F.lit(name)) for name, df in evaluated.items()]
+    save(reduce(DataFrame.unionByName, matrices), "confusion")

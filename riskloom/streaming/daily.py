@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.constants import APPLICATION_SCHEMA
-from riskloom.sources.files import csv_schema, with_batch
+from riskloom.sources.files import read_csv, with_batch
 
 
 def new_files(
     spark: SparkSession, path: str, schema: T.StructType = APPLICATION_SCHEMA, fmt: str = "parquet", per_batch: int = 1_000
 ) -> DataFrame:
     """A stream over the files below ``path``; ``per_batch`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", per_batch)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("nullValue", "NA")
-    return reader.load(path)
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", per_batch).load(path)
 
 
 def land_stream(df: DataFrame, destination: str, checkpoint: str, partition_by: str | None = "batch_nr") -> None:
@@ -37,7 +35,30 @@ def land_stream(df: DataFrame, destination: str, checkpoint: str, partition_by:
     writer.start().awaitTermination()
 
 
-def land_new_csv(spark: SparkSession, source: str, destination: str, checkpoint: str) -> None:
-    """The daily run: dated CSV files to parquet by day, each file once."""
-    stream = new_files(spark, source, csv_schema(), "csv")
-    land_stream(with_batch(stream), destination, checkpoint)
+def land_new_csv(spark: SparkSession, source: str, destination: str, checkpoint: str, per_batch: int = 1_000) -> None:
+    """The daily run: dated CSV files to parquet by day, each file once.
+
+    The stream carries file names only; a micro-batch reads its files by their headers and
+    writes partitions of its own number, so one that is repeated replaces itself.
+    """
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("maxFilesPerTrigger", per_batch)
+        .load(source)
+        .select("path")
+    )
+
+    def land(batch: DataFrame, number: int) -> None:
+        files = [r["path"] for r in batch.collect()]  # at most per_batch names
+        if files:
+            rows = with_batch(read_csv(spark, files)).withColumn("arrival", F.lit(number))
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_nr", "arrival")
+                .parquet(destination)
+            )
+
+    query = names.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    query.start().awaitTermination()

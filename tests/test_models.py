@@ -131,7 +131,7 @@ def test_best_of_prefers_the_earlier_point(spark):
 
 def test_summary_line(spark):
     df = spark.createDataFrame([("NB", 0, "recall", 0.5), ("NB", 1, "recall", 1.0)], "model string, fold int, metric string, value double")
-    assert selection.summary_lines(selection.summarize(df)).first()[0] == "NB: 0.750000 (0.250000)"
+    assert tuple(selection.summarize(df).first()) == ("NB", 0.75, 0.25)
 
 
 def test_full_grids():
@@ -149,7 +149,16 @@ def test_features_per_split_are_clamped():
 @pytest.mark.parametrize("name", ["LR", "CART", "RF", "SVM", "XGB"])
 def test_iterative_models_learn(data, name):
     rows = columns.design(data.train, data.features, target="label")
-    model = iterative.iterative_models(rows.count(), len(data.features))[name].fit(rows)
+    n, p = rows.count(), len(data.features)
+    small = {
+        "LR": iterative.logistic_regression(n, max_iter=25),
+        "CART": iterative.decision_tree(12),
+        "RF": iterative.random_forest(p, 15, 8),
+        "SVM": iterative.KernelSvm(n, p, size=64, max_iter=10),
+        "XGB": iterative.boosted_trees(5, 4),
+    }
+    assert set(iterative.iterative_models(n, p)) == set(small)
+    model = small[name].fit(rows)
     test = columns.design(data.test, data.features, target="label")
     scored = model.transform(test)
     hits = scored.agg(
@@ -168,3 +177,23 @@ def test_null_features_are_skipped_and_counted(spark):
     df = spark.createDataFrame([(1, 2.0, 1.0), (2, None, 0.0)], "application_id bigint, x double, label double")
     assert columns.design(df, ["x"], target="label").count() == 1
     assert tuple(columns.skipped_rows(df, ["x"]).first()) == (2, 1)
+
+
+def test_truncated_forest_is_a_smaller_forest(spark, data):
+    """The grid's walk over saved nodes votes as Spark does, whole and with fewer trees."""
+    rows = pin(columns.design(data.train, data.features, target="label"), "rows")
+    model = iterative.random_forest(len(data.features), 6, 4, 5).fit(rows)
+    trees = selection.node_arrays(model, spark)
+    x = np.stack([r["features"].toArray() for r in rows.collect()])
+    want = np.array([r["prediction"] for r in model.transform(rows).collect()])
+    got = selection.truncated_votes(trees, [2, 4, 30], [3, 6], x)
+    assert (got[:, 2, 1] == (want == 1)).mean() > 0.999 and (got[:, 1] == got[:, 2]).all()
+    short = [[t.predict(v) for v in rows.limit(40).toPandas()["features"]] for t in model.trees[:1]]
+    assert len(short[0]) == 40
+
+
+def test_forest_grid_has_every_point(data):
+    rows = pin(columns.design(folds.with_stratified_kfold(data.train, k=2), data.features, target="label", keep=("fold",)), "rows")
+    grid = {"max_depth": [2, None], "n_estimators": [1, 4], "max_features": [3, 99]}
+    table = selection.forest_grid(rows, len(data.features), grid, folds=2, fit_rows=300).collect()
+    assert sorted(r["grid_index"] for r in table) == list(range(8)) and all(0 <= r["mean_score"] <= 1 for r in table)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import governance
 from riskloom.plans.batch import Paths, run_batch
-from riskloom.plans.curate import curation_step
-from riskloom.plans.train import training_step
+from riskloom.operators import iterative
+from riskloom.plans.jobs import curate_table, parse
+from riskloom.plans.train import Search, train_models
 from riskloom.sources import files, promote, warehouse
 from riskloom.sources.applications import applications
 from riskloom.streaming.daily import land_new_csv
@@ -112,12 +113,69 @@ def test_batch_runs_and_reruns(spark, raw_csv, tmp_path):
     assert log.count() == 18 and log.filter("step = 'validation' AND rows_in = 1500 AND rows_out = 1500").count() == 3
 
 
+def small_models(n_rows, n_features):
+    return {
+        "LR": iterative.logistic_regression(n_rows, max_iter=10),
+        "CART": iterative.decision_tree(5),
+        "RF": iterative.random_forest(n_features, 5, 5),
+        "SVM": iterative.KernelSvm(n_rows, n_features, size=32, max_iter=5),
+        "XGB": iterative.boosted_trees(3, 3),
+    }
+
+
+def test_command_line():
+    asked = parse(["batch", "in", "lake", "2023-05-12"])
+    assert (asked.source, asked.lake, asked.day) == ("in", "lake", datetime(2023, 5, 12))
+    with pytest.raises(SystemExit):
+        parse(["train", "only-one-folder"])
+
+
+def test_columns_are_taken_by_header(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", "0,67,male,2,own,NA,little,1169,6,car,good")
+    (tmp_path / "b.csv").write_text("Job,Age,Sex,Housing,Saving accounts,Checking account,Credit amount,Duration,Purpose,Risk,application_id,More\n"
+                                    "3,61,male,own,NA,little,1169,6,car,good,1,x\n")
+    df = files.read_csv(spark, str(tmp_path))
+    assert sorted(map(tuple, df.select("application_id", "Age", "Job").collect())) == [(0, 67, 2), (1, 61, 3)]
+    (tmp_path / "c.csv").write_text("Age,Sex\n1,male\n")
+    with pytest.raises(ValueError, match="Job"):
+        files.read_csv(spark, str(tmp_path))
+
+
+def test_undated_file_is_refused(spark, tmp_path):
+    write_csv(tmp_path / "in" / "credit.csv", "0,67,male,2,own,NA,little,1169,6,car,good")
+    with pytest.raises(ValueError, match="credit.csv"):
+        files.land_daily(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_batch_keeps_every_row_and_its_encoding(spark, raw_csv, tmp_path):
+    paths = Paths(str(tmp_path / "lake"), raw_csv)
+    run_batch(spark, paths, datetime(2023, 5, 12))
+    first = spark.read.parquet(paths.curated).columns
+    day = tmp_path / "one_class"
+    rows = ["0,67,male,2,F,NA,1-URGENT,1169,6,ASIA,good", "1,abc,male,2,F,NA,1-URGENT,1169,6,ASIA,good",
+            "2,30,male,2,F,NA,1-URGENT,0,6,ASIA,good", "3,,male,2,F,NA,1-URGENT,100,6,ASIA,good"]
+    write_csv(day / "x.csv", *rows)
+    counts = run_batch(spark, Paths(str(tmp_path / "lake"), str(day)), datetime(2023, 5, 13))
+    assert (counts["raw"], counts["quarantine"], counts["validation"], counts["training"]) == (4, 1, 3, 3)
+    assert spark.read.parquet(paths.curated).columns == first
+    got = spark.read.parquet(paths.results).filter("batch_nr = 20230513").select("application_id", "unscored", F.col("prediction").isNull()).collect()
+    assert sorted(map(tuple, got)) == [(0, None, False), (2, "credit_amount", True), (3, "age", True)]
+
+
 def test_jobs_from_raw_to_models(spark, sf_dir, tmp_path):
     raw, mid, out = (str(tmp_path / n) for n in ("results", "curated", "output"))
     applications(spark, sf_dir).write.parquet(raw)
-    curation_step(spark, raw, mid)
+    curate_table(spark, raw, mid)
     assert spark.read.parquet(mid).count() == 1500
-    training_step(spark, mid, out, folds=3, grid_folds=2)
+    small = Search(
+        forest={"max_depth": [3, 7], "n_estimators": [5], "max_features": [4, 20]},
+        boosted={"max_depth": [3], "min_child_weight": [3], "gamma": [0.0], "subsample": [0.8], "colsample_bytree": [0.8]},
+        rounds=3,
+        folds=3,
+        grid_folds=2,
+        models=small_models,
+    )
+    train_models(spark, mid, out, small)
     ranking = spark.read.parquet(f"{out}/model_ranking")
     assert {r["model"] for r in ranking.collect()} == {"LR", "LDA", "KNN", "CART", "NB", "RF", "SVM", "XGB"}
     assert spark.read.parquet(f"{out}/model_scores").count() == 24
