@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalars import quoted
 
 MAX_GROUPS = 10_000
+AT_ONCE = 64  # ranges that one pass tells apart
+SAMPLED = 512  # values of a range that its cuts are drawn from
 
 
 @dataclass
@@ -33,26 +35,29 @@ def order_statistics(
     ranks: Callable[[int], list[int]],
     by: tuple[str, ...] = (),
     limit: int = 1_000_000,
-    buckets: int = 1_024,
+    cuts: int = 64,
+    max_groups: int = MAX_GROUPS,
 ) -> dict[tuple, tuple[int, dict[int, object]]]:
     """``{group: (n, {rank: value})}`` for zero-based ranks among non-null values.
 
-    ``ranks`` maps a group's row count to the ranks wanted. Each round counts values
-    in equal-width buckets and keeps only the buckets that hold a wanted rank, until
-    those hold at most ``limit`` rows; only then are values sorted, after equal values
-    have been counted together. A round is a narrow scan with a partial aggregate, so
-    a value held by a third of all rows costs one counter per task.
+    ``ranks`` maps a group's row count to the ranks wanted. Values may be of any type that
+    Spark orders, in Spark's order: NaN comes last, text by bytes. Each round draws cut
+    values from a small sample, counts what equals a cut and what lies between cuts, and
+    keeps only the parts that hold a wanted rank, until those hold at most ``limit`` rows;
+    only then are values sorted, after equal values have been counted together. The cuts
+    only steer the search: any cuts give the same values. A round is a narrow scan with a
+    partial aggregate, so a value held by a third of all rows costs one counter per task.
     """
     value_col = quoted(value)
     data = df.filter(value_col.isNotNull())
     sizes = (
         data.groupBy(*by)
         .agg(F.count("*").alias("n"), F.min(value_col).alias("low"), F.max(value_col).alias("high"))
-        .limit(MAX_GROUPS + 1)
+        .limit(max_groups + 1)
         .collect()
     )
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
+    if len(sizes) > max_groups:
+        raise ValueError(f"more than {max_groups} groups")
     result: dict[tuple, tuple[int, dict[int, object]]] = {}
     pending = []
     for row in sizes:
@@ -68,20 +73,17 @@ def order_statistics(
     while pending:
         wide = []
         for r in pending:
-            if r.low == r.high:
+            if _order(r.low) == _order(r.high):
                 result[r.group][1].update({k: r.low for k in r.ranks})
             elif r.rows <= limit:
                 final.append(r)
             else:
                 wide.append(r)
         pending = []
-        if wide:
-            for r, narrowed in zip(wide, _narrow(data, value_col, by, wide, buckets)):
-                # A range that cannot be split further is sorted as it is.
-                stuck = len(narrowed) == 1 and narrowed[0].rows == r.rows
-                (final if stuck else pending).extend(narrowed)
-    for at in range(0, len(final), 64):
-        _pick(data, value_col, by, final[at : at + 64], result)
+        for at in range(0, len(wide), AT_ONCE):
+            pending += _narrow(data, value_col, by, wide[at : at + AT_ONCE], cuts)
+    for at in range(0, len(final), AT_ONCE):
+        _pick(data, value_col, by, final[at : at + AT_ONCE], result)
     return result
 
 
@@ -99,17 +101,39 @@ def _tag(value_col: Column, by: tuple[str, ...], ranges: list[_Range]) -> Column
     return chain
 
 
-def _narrow(data, value_col, by, ranges, buckets) -> list[list[_Range]]:
-    chain = F.when(F.lit(False), F.lit(0))
+def _order(value: object) -> tuple:
+    """A key that sorts values as Spark does."""
+    if isinstance(value, float):
+        return (math.isnan(value), 0.0 if math.isnan(value) else value)
+    return (False, value.encode() if isinstance(value, str) else value)
+
+
+def _cuts(tagged: DataFrame, ranges: list[_Range], wanted: int) -> list[list]:
+    """Up to ``wanted`` cut values of each range, its least value among them."""
+    share = F.when(F.lit(False), F.lit(0.0))
     for i, r in enumerate(ranges):
-        spot = F.width_bucket(
-            value_col.cast("double"), F.lit(float(r.low)), F.lit(float(r.high)), F.lit(buckets)
-        )
-        chain = chain.when(_membership(value_col, by, r), F.least(spot, F.lit(buckets)).cast("int"))
+        share = share.when(F.col("tag") == i, F.lit(min(1.0, SAMPLED / r.rows)))
+    drawn: list[dict] = [{_order(r.low): r.low} for r in ranges]
+    for row in tagged.filter(F.rand(11) < share).collect():
+        drawn[row["tag"]][_order(row["v"])] = row["v"]
+    out = []
+    for found in drawn:
+        values = [found[k] for k in sorted(found)]
+        step = max(1, -(-len(values) // wanted))
+        out.append(values[::step])
+    return out
+
+
+def _narrow(data, value_col, by, ranges, cuts) -> list[_Range]:
+    tagged = data.select(_tag(value_col, by, ranges).alias("tag"), value_col.alias("v")).filter(F.col("tag").isNotNull())
+    chain = F.when(F.lit(False), F.lit(0))
+    for i, values in enumerate(_cuts(tagged, ranges, cuts)):
+        # Even numbers lie between cuts, odd ones equal a cut.
+        held = F.array(*[F.lit(v) for v in values])
+        spot = F.size(F.filter(held, lambda c: F.col("v") >= c)) + F.size(F.filter(held, lambda c: F.col("v") > c))
+        chain = chain.when(F.col("tag") == i, spot)
     counted = (
-        data.select(_tag(value_col, by, ranges).alias("tag"), chain.alias("bucket"), value_col.alias("v"))
-        .filter(F.col("tag").isNotNull())
-        .groupBy("tag", "bucket")
+        tagged.groupBy("tag", chain.alias("part"))
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     )
@@ -118,13 +142,12 @@ def _narrow(data, value_col, by, ranges, buckets) -> list[list[_Range]]:
         per_range[row["tag"]].append(row)
     out = []
     for r, rows in zip(ranges, per_range):
-        before, parts = r.before, []
-        for row in sorted(rows, key=lambda x: x["low"]):
+        before = r.before
+        for row in sorted(rows, key=lambda x: x["part"]):
             inside = [k for k in r.ranks if before <= k < before + row["n"]]
             if inside:
-                parts.append(_Range(r.group, row["low"], row["high"], row["n"], before, inside))
+                out.append(_Range(r.group, row["low"], row["high"], row["n"], before, inside))
             before += row["n"]
-        out.append(parts)
     return out
 
 
@@ -174,12 +197,8 @@ def column_quantiles(
 ) -> dict[str, list[float]]:
     """Exact quantiles of several expressions; columns without any value are left out.
 
-    Up to ``limit`` rows the built-in ``percentile`` is used: its state, one counter per
-    distinct value, is bounded by that. Beyond, values are selected by rounds of counting.
+    Values are selected by rounds of counting, whatever the number of rows.
     """
-    if df.count() <= limit:
-        row = df.agg(*[F.percentile(v.cast("double"), probs).alias(f"q{i}") for i, v in enumerate(values.values())]).first()
-        return {name: list(row[i]) for i, name in enumerate(values) if row[i] is not None}
     cells = [F.struct(F.lit(n).alias("column"), v.cast("double").alias("value")) for n, v in values.items()]
     tall = df.select(F.explode(F.array(*cells)).alias("c")).select("c.column", "c.value")
     return {name: q for (name,), q in quantiles(tall, "value", probs, ("column",), limit).items()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,9 +20,10 @@ def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 1_000_000) ->
     if wanted <= 1:
         return df.withColumn("bucket", F.lit(0.0))
     cuts = df.approxQuantile(key, [i / wanted for i in range(1, wanted)], 1 / (8 * wanted))
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    sliced = df.withColumn("_key", F.col(key).cast("double"))
-    return Bucketizer(splits=splits, inputCol="_key", outputCol="bucket").transform(sliced).drop("_key")
+    held = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    # Comparisons put NaN last, as Spark's order does.
+    place = F.col(key).cast("double")
+    return df.withColumn("bucket", F.size(F.filter(held, lambda c: place >= c)).cast("double"))
 
 
 def running_totals(

@@ -59,3 +59,43 @@ def test_file_date(spark):
 def test_local_time(spark):
     df = spark.sql("SELECT timestamp '2024-01-01 05:00:00' AS t").select(local_time(F.col("t")).cast("string"))
     assert df.first()[0] == "2023-12-31 22:00:00"
+
+
+def spark_order(v):
+    return (v != v, 0.0) if v != v else (False, v.encode() if isinstance(v, str) else v)
+
+
+@pytest.mark.parametrize("kind", ["nan", "text", "date", "hot"])
+def test_every_size_and_type_is_selected_alike(spark, kind):
+    from datetime import date, timedelta
+
+    rng = np.random.default_rng(7)
+    made = {
+        "nan": [float(x) for x in rng.normal(size=900)] + [float("nan")] * 40 + [float("inf")] * 30 + [float("-inf")] * 30,
+        "text": [f"k{x}" for x in rng.integers(0, 10_000, 1000)] + ["é", "z\U0001f600", ""],
+        "date": [date(2020, 1, 1) + timedelta(days=int(x)) for x in rng.integers(0, 900, 1000)],
+        "hot": [5] * 700 + [int(x) for x in rng.integers(0, 1000, 300)],
+    }[kind]
+    df = spark.createDataFrame([(v,) for v in made], ["v"])
+    ordered, ranks = sorted(made, key=spark_order), [0, 1, 333, 500, 700, 960, len(made) - 1]
+    for limit in (10, 1_000_000):
+        n, found = order_statistics(df, "v", lambda n: ranks, limit=limit)[()]
+        assert n == len(made) and all(spark_order(found[r]) == spark_order(ordered[r]) for r in ranks)
+
+
+def test_roc_places_nan_alike_at_every_size(spark):
+    from riskloom.operators import metrics
+
+    rng = np.random.default_rng(2)
+    rows = [(float(s), float(rng.integers(2))) for s in rng.normal(size=600)] + [(float("nan"), 1.0), (float("inf"), 0.0)]
+    df = spark.createDataFrame(rows, "score double, label double")
+    curves = [sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df, rows_per_bucket=n).collect()) for n in (50, 1_000_000)]
+    assert curves[0] == curves[1]
+
+
+def test_folds_of_text_ids_at_every_size(spark):
+    from riskloom.operators import folds
+
+    df = spark.createDataFrame([(f"id{i:04d}",) for i in range(500)], "application_id string")
+    a, b = ({r[0]: r["fold"] for r in folds.with_kfold(df, 10, limit=n).collect()} for n in (20, 1_000_000))
+    assert a == b and len(set(a.values())) == 10
