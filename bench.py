@@ -38,7 +38,6 @@ HEADLINE = [
     "rff_svm_scored",
     "gbt_scored",
     "classified_dataset",
-    "model_ranking",
     "rf_grid",
     "published_summary",
     "daily_landing",

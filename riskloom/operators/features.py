@@ -45,8 +45,14 @@ def anova_f(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def select_k_best(df: DataFrame, features: list[str], k: int = 6) -> DataFrame:
-    """The k features with the highest F value, best first; ties by name."""
-    return anova_f(df, features).orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
+    """The k features with the highest F value, best first; among equals the earlier column."""
+    place = F.array_position(F.lit(features), F.col("feature"))
+    return anova_f(df, features).orderBy(F.desc_nulls_last("f_score"), place).limit(k)
+
+
+def loading_signs(loadings: np.ndarray) -> np.ndarray:
+    """What makes the largest loading of each axis (column) positive."""
+    return np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(loadings.shape[1])])
 
 
 def union_pipeline(components: int = 2, k: int = 6) -> Pipeline:

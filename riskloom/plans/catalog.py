@@ -365,7 +365,8 @@ def pca_scores(spark, sf_dir):
     fitted = features.union_pipeline().fit(train_rows)
     axes = vector_to_array("axes")
     out = fitted.transform(columns.design(data.test, data.features, target="label"))
-    return out.select(ROW_ID, axes[0].alias("axis_0"), axes[1].alias("axis_1"), "prediction")
+    signs = features.loading_signs(fitted.stages[1].pc.toArray())
+    return out.select(ROW_ID, *[(axes[i] * float(signs[i])).alias(f"axis_{i}") for i in (0, 1)], "prediction")
 
 
 @query
