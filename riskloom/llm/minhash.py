@@ -185,6 +185,11 @@ def link_texts(texts: DataFrame, classes: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(_compare, "a string, b string")
 
 
+def content_of(text: str = "text"):
+    """A digest of a text's words: texts that share it have the same shingles."""
+    return F.md5(F.trim(F.regexp_replace(ascii_lower(text_or_empty(text)), SPACES, " ")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
@@ -199,8 +204,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``kept`` then compares null-safely. Repeated rows keep their rows. An empty table gives
     an empty one; further columns are ignored.
     """
-    plain = F.trim(F.regexp_replace(ascii_lower(text_or_empty()), SPACES, " "))
-    keyed = docs.select("doc_id", text_or_empty().alias("text"), F.md5(plain).alias("content"))
+    return judged(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """(doc_id, content, n_shingles, component_id, root): root is one content of the component."""
+    keyed = docs.select("doc_id", text_or_empty().alias("text"), content_of().alias("content"))
     sketched = pin(sketches(keyed), "sketches")
     classes = pin(
         sketched.filter("n_shingles > 0")
@@ -215,22 +224,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = connected_components(links)
     named = pin(roots.join(classes.select(F.col("content").alias("node"), "least_id"), "node"), "named")
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))
-    component = named.join(least, "root").select(F.col("node").alias("content"), "component")
-    named_classes = classes.join(component, "content", "left").select("content", F.coalesce("component", "least_id").alias("component"))
-    own = sketched.select("doc_id", "n_shingles", "content")
-    joined = own.join(named_classes, "content", "left").withColumn(
-        "component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
+    component = named.join(least, "root").select(F.col("node").alias("content"), "component", "root")
+    named_classes = classes.join(component, "content", "left").select(
+        "content", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "content").alias("root")
+    )
+    joined = sketched.select("doc_id", "n_shingles", "content").join(named_classes, "content", "left")
+    return joined.select(
+        "doc_id",
+        "content",
+        "n_shingles",
+        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        F.coalesce("root", "content").alias("root"),
     )
-    return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest id, once even if repeated.
 
-    Rows without words stay unless row and id are repeated. Of rows with a null id, one of
-    each group without any other id stays.
+    Rows without words stay unless id and words are repeated. Of a group without any id
+    one row stays, that of its least content; an id that is repeated with texts of
+    different groups stays once in each.
     """
-    verdict = near_duplicates(docs)
-    kept = verdict.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return same_columns(stays.dropDuplicates(["doc_id"]), docs)
+    first = (
+        judged(docs)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", F.col("doc_id").alias("_rl_id"))
+        .agg(F.min("content").alias("_rl_first"))
+        .drop("root")
+    )
+    keyed = docs.withColumn("_rl_content", content_of())
+    same_row = F.col("doc_id").eqNullSafe(F.col("_rl_id")) & (F.col("_rl_content") == F.col("_rl_first"))
+    stays = keyed.join(first, same_row, "left_semi").dropDuplicates(["doc_id", "_rl_content"])
+    return same_columns(stays, docs)

@@ -169,6 +169,12 @@ def test_near_duplicates_edges(edges, nothing):
     assert kept.columns == edges.columns and ids(kept) == [1, 2, 3, 4, 5, 6, 2**60 + 1, None]
 
 
+def test_rows_without_ids_stay_apart(spark):
+    rows = [(None, "a b c d e f g"), (None, "A b c d e f g"), (None, "other words that stand alone here"), (7, "x y z"), (7, "p q r s t u")]
+    kept = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["text"].lower() for r in kept) == sorted({t.lower() for _, t in rows})
+
+
 def test_components_of_a_path_a_star_and_a_ring(spark):
     links = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(90)] + [("s000", f"s{i:03d}") for i in range(1, 40)]
     links += [(f"r{i}", f"r{(i + 1) % 7}") for i in range(7)] + [("t", "t"), ("p001", "p000")]
