@@ -10,7 +10,9 @@ from riskloom.llm.bytewords import U, mix64, shingles, word_hashes
 from riskloom.llm.common import map_batches, row_key, same_columns
 
 EDITS = (1, 10)  # word edits allowed per word of an item
+PIECE = 32  # words of a piece at least; items of twice as many are cut into pieces
 REPEATS, SAMPLED = 32, 3  # LSH tables, and positions of the embedding in each key
+RECALL = 0.98  # of items with all the edits allowed, in each size class
 SEED = 3  # words of a seed; that many seeds are lost by an edit at most
 SEED_BITS = 24
 BLOCK_ITEMS = 4_000  # items that a pass over the documents looks for
@@ -22,6 +24,21 @@ def allowed(n: int) -> int:
     return n * EDITS[0] // EDITS[1]
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first word, end) of the pieces of an item of ``n`` words.
+
+    The pieces share out the item's words evenly, so at most the allowed edits of the item
+    leave some piece with at most the allowed edits of its own.
+    """
+    m = max(1, n // PIECE)
+    return [(n * j // m, n * (j + 1) // m) for j in range(m)]
+
+
+def share(n: int) -> int:
+    """Edits of the piece with the fewest, when an item of ``n`` words has all it may have."""
+    return allowed(n) // len(pieces(n))
+
+
 def _bits(step: int, repeat: int, symbols: np.ndarray) -> np.ndarray:
     """The walk's random bit for each symbol at a step: 1 moves on, 0 repeats the symbol."""
     salt = mix64(np.array([(repeat << 32) + step + 1], U))[0] | U(1)
@@ -71,15 +88,16 @@ class Items:
         self.seeds = np.zeros(1 << SEED_BITS, bool)
         for w in self.words:
             self.seeds[shingles(w, SEED) >> U(64 - SEED_BITS)] = True
+        self.pieces = [(k, a, b) for k, w in enumerate(self.words) for a, b in pieces(len(w))]
         classes: dict[int, list[int]] = {}
-        for k, w in enumerate(self.words):
-            classes.setdefault(int(2 * np.log2(len(w))), []).append(k)
+        for p, (_, a, b) in enumerate(self.pieces):
+            classes.setdefault(int(2 * np.log2(b - a)), []).append(p)
         self.classes = []
         for members in classes.values():
-            width = min(len(self.words[k]) for k in members)
-            edits = max(allowed(len(self.words[k])) for k in members)
+            width = min(b - a for _, a, b in (self.pieces[p] for p in members))
+            edits = max(share(len(self.words[self.pieces[p][0]])) for p in members)
             least = max(1, width - SEED + 1 - SEED * edits) if width >= SEED else 0
-            rows = np.stack([self.words[k][:width] for k in members])
+            rows = np.stack([self.words[k][a : a + width] for k, a, _ in (self.pieces[p] for p in members)])
             tables = []
             for r in range(REPEATS):
                 keys = keys_of(rows, r)
@@ -88,10 +106,10 @@ class Items:
             self.classes.append((width, edits, least, tables))
 
     def windows(self, words: np.ndarray):
-        """(class, starts) of the windows of each item size with enough seeds.
+        """(class, starts) of the windows of each size of pieces with enough seeds.
 
         An edit destroys at most ``SEED`` seeds, so a window without that many of the
-        benchmark's seeds left can't hold an item of its size.
+        benchmark's seeds left can't hold a piece of its size.
         """
         if not len(words):
             return
@@ -131,8 +149,8 @@ class Items:
                     found = keys_of(rows, r)
                     left, right = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
                     for i in np.flatnonzero(right > left):
-                        for k in members[left[i] : right[i]]:
-                            near.add((int(own[i]), int(k), int(at[i])))
+                        for p in members[left[i] : right[i]]:
+                            near.add((int(own[i]), int(p), int(at[i])))
 
         pending = dict.fromkeys(range(len(self.classes)), 0)
         for d, words in enumerate(docs):
@@ -145,14 +163,29 @@ class Items:
         for c in list(waiting):
             flush(c)
 
-        best: dict[tuple[int, int], tuple[int, int]] = {}
+        # Where an item would start by a piece of it that is near enough.
+        likely: set[tuple[int, int, int]] = set()
         checked: dict[tuple[int, int], int] = {}
-        for d, k, at in sorted(near):
-            item, e = self.words[k], allowed(len(self.words[k]))
+        for d, p, at in sorted(near):
+            k, first, end = self.pieces[p]
+            e = share(len(self.words[k]))
             # A start within the slack of one that was looked at lies in the same stretch.
-            if checked.get((d, k), -1) >= at:
+            if end - first < len(self.words[k]):
+                if checked.get((d, p), -1) >= at:
+                    continue
+                checked[d, p] = at + e
+                lo, hi = max(0, at - 2 * e - 1), at + end - first + 3 * e + 1
+                if edit_distance(self.words[k][first:end], docs[d][lo:hi])[0] > e:
+                    continue
+            likely.add((d, k, at - first))
+
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        checked = {}
+        for d, k, at in sorted(likely):
+            item, e = self.words[k], allowed(len(self.words[k]))
+            if (d, k) in checked and checked[d, k] >= at:
                 continue
-            lo, hi = max(0, at - 2 * e - 1), at + len(item) + 2 * e + 1
+            lo, hi = max(0, at - 3 * e - 1), max(0, at + len(item) + 4 * e + 1)
             checked[d, k] = at + e
             distance, end = edit_distance(item, docs[d][lo:hi])
             if distance <= e and distance < best.get((d, k), (e + 1,))[0]:
@@ -168,9 +201,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_I
 
     One row per document and item whose words occur in the document with at most one edit
     (a word inserted, left out or changed) per ten words; A-Z are lower-cased and words
-    are runs without white space. Windows of the items' sizes at every word of the
-    document are embedded and looked up in ``REPEATS`` hash tables; what they find is
-    confirmed by exact edit distance. Items of fewer than ten words must occur unchanged.
+    are runs without white space. Items of 2 x ``PIECE`` words and more are cut into pieces
+    of ``PIECE`` to 2 x ``PIECE`` words, of which at least one has no more than its share of
+    the edits. Windows of the pieces' sizes at every word of the document are embedded and
+    looked up in ``REPEATS`` hash tables; a piece found is confirmed by exact edit distance,
+    and then its whole item. Recall is meant to be at least ``RECALL`` for an item with all
+    the edits it may have, whatever its size and the kind of edits. Items of fewer than ten words must occur unchanged.
 
     The benchmark is a stated set of queries: ``block_items`` items at a time go to all
     tasks and a pass over the documents looks for them, so no side is shuffled and a task
