@@ -2,32 +2,79 @@
 
 from __future__ import annotations
 
+import pkgutil
 import re
 
 from pyspark.sql import DataFrame
 
 from riskloom.llm.common import map_batches
 
-# Base phrases and their labels, and well-known license wording.
+# Base phrases and their labels, and well-known license wording. A label's
+# templates are its one-line notices and longer excerpts; full texts are files.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-TEMPLATES = {
-    "agpl": "licensed under the gnu affero general public license version 3",
-    "apache-2.0": "licensed under the apache license version 2 0 the license you may not use this file except in "
-    "compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided "
-    "that the following conditions are met",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "cc-by-sa": "licensed under cc by sa 4 0",
-    "gpl": "this work is licensed under the gnu general public license version 3",
-    "gpl-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-    "general public license as published by the free software foundation",
-    "lgpl": "licensed under the gnu lesser general public license version 2 1",
-    "mit": "released under the mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-    "associated documentation files the software to deal in the software without restriction",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "unlicense": "this is free and unencumbered software released into the public domain",
+TEMPLATES: dict[str, list[str]] = {
+    "agpl": [
+        "licensed under the gnu affero general public license version 3",
+        "licensed under the gnu affero general public license",
+    ],
+    "apache-2.0": [
+        "licensed under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
+    ],
+    "bsd": [
+        "licensed under the bsd license",
+        "released under the bsd license",
+        "redistribution and use in source and binary forms with or without modification are permitted provided "
+        "that the following conditions are met",
+    ],
+    "cc-by-nc": ["licensed under cc by nc 4 0"],
+    "cc-by-sa": ["licensed under cc by sa 4 0"],
+    "gpl": [
+        "this work is licensed under the gnu general public license version 3",
+        "licensed under the gnu general public license version 3",
+        "licensed under the gnu general public license version 2",
+        "licensed under the gnu general public license",
+    ],
+    "gpl-notice": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation"
+    ],
+    "isc": [
+        "licensed under the isc license",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "lgpl": [
+        "licensed under the gnu lesser general public license version 2 1",
+        "licensed under the gnu lesser general public license version 3",
+        "licensed under the gnu lesser general public license",
+    ],
+    "mit": ["released under the mit license", "licensed under the mit license"],
+    "mit-text": [
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction including without "
+        "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the "
+        "software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the software the software is provided as is without warranty of any kind express or implied including but "
+        "not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no "
+        "event shall the authors or copyright holders be liable for any claim damages or other liability whether in an "
+        "action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+        "other dealings in the software",
+    ],
+    "mpl-2.0": [
+        "licensed under the mozilla public license version 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+    ],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
+FULL_TEXTS = {
+    "apache-2.0": "Apache-2.0", "bsd": "BSD", "cc0": "CC0-1.0", "gpl": "GPL-3", "gpl-2": "GPL-2",
+    "lgpl": "LGPL-2.1", "lgpl-3": "LGPL-3", "mpl-2.0": "MPL-2.0",
+}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = {c: c + 32 for c in range(65, 91)}
 MIN_MATCH = 3  # words of a match that counts
@@ -39,22 +86,22 @@ class SuffixAutomaton:
     """A generalised suffix automaton of token sequences.
 
     Each state keeps its longest length, its suffix link and which templates it occurs in
-    (with the end of an occurrence), so a match of a streamed file names its templates.
+    (with the ends of its occurrences), so a match of a streamed file names its templates.
     """
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[dict[int, list[int]]] = [{}]
         for k, tokens in enumerate(sequences):
             last = 0
             for i, token in enumerate(tokens):
                 last = self._extend(last, token)
-                self.ends[last].setdefault(k, i)
+                self.ends[last].setdefault(k, []).append(i)
         # A state occurs wherever a state that links to it occurs.
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            for k, i in self.ends[state].items():
-                self.ends[self.link[state]].setdefault(k, i)
+            for k, places in self.ends[state].items():
+                self.ends[self.link[state]].setdefault(k, []).extend(places)
 
     def _new(self, length: int) -> int:
         self.next.append({})
@@ -119,40 +166,108 @@ class SuffixAutomaton:
             out.append((before + 1 - size, before + 1, state))
         return out
 
+    def template_matches(self, tokens: list[tuple[int, int]], least: list[int]) -> list[tuple[int, int, int, list[int]]]:
+        """(template, start, end, ends in the template) of each template's own maximal matches.
+
+        A template's matching statistic is the length of the first state on the path of
+        suffix links that occurs in it, so wording that is longer in one template hides
+        no match of another. Matches shorter than ``least`` of their template don't count.
+        """
+        shortest, out = min(least, default=1), []
+        held: dict[int, tuple[int, int, list[int]]] = {}
+        state = size = 0
+        before = -2
+        for place, token in tokens:
+            if place != before + 1:
+                state = size = 0
+                out += [(k, *m) for k, m in held.items()]
+                held = {}
+            while state and token not in self.next[state]:
+                state = self.link[state]
+                size = self.length[state]
+            if token in self.next[state]:
+                state, size = self.next[state][token], size + 1
+            else:
+                state = size = 0
+            before = place
+            if size < shortest and not held:
+                continue
+            now: dict[int, tuple[int, int, list[int]]] = {}
+            at, n = state, size
+            while n >= shortest:
+                for k, places in self.ends[at].items():
+                    if n >= least[k] and k not in now:
+                        now[k] = (place + 1 - n, place + 1, places)
+                at = self.link[at]
+                n = self.length[at] if at >= 0 else 0
+            out += [(k, *m) for k, m in held.items() if k not in now or now[k][0] != m[0]]
+            held = now
+        return out + [(k, *m) for k, m in held.items()]
+
+
+def template_words(text: str) -> list[str]:
+    return WORD.findall(text.translate(UPPER))
+
+
+def stated_templates() -> dict[str, list[str]]:
+    """The notices of ``TEMPLATES`` with the full texts."""
+    full = {k: pkgutil.get_data(__package__, f"license_texts/{v}.txt").decode() for k, v in FULL_TEXTS.items()}
+    return {k: [*TEMPLATES.get(k, []), *([full[k]] if k in full else [])] for k in sorted({*TEMPLATES, *full})}
+
 
 class Scanner:
     """The vocabulary, the automaton and the base phrases, built once per task."""
 
-    def __init__(self, templates: dict[str, str] = TEMPLATES, base: dict[str, str] = BASE):
-        self.labels = sorted(templates)
-        words = [templates[k].split() for k in self.labels]
+    def __init__(self, templates: dict[str, list[str]] | None = None, base: dict[str, str] = BASE):
+        pairs = [(k, template_words(t)) for k, ts in sorted((stated_templates() if templates is None else templates).items()) for t in ts]
+        self.labels = [k for k, w in pairs if w]
+        words = [w for _, w in pairs if w]
         phrases = [p.split() for p in base]
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for s in [*words, *phrases] for w in s}))}
         self.sizes = [len(s) for s in words]
+        self.least = [min(MIN_MATCH, n) for n in self.sizes]
         self.automaton = SuffixAutomaton([[self.vocabulary[w] for w in s] for s in words])
         self.base = [(tuple(self.vocabulary[w] for w in p), base[" ".join(p)]) for p in phrases]
         self.opening = {}
         for p, label in self.base:
             self.opening.setdefault(p[0], []).append((p, label))
 
-    def spans(self, tokens: list[tuple[int, int]]) -> list[tuple[str, int, int, float]]:
-        """(template, first word, end, share covered) of chained matches.
+    def spans(self, tokens: list[tuple[int, int]]) -> list[tuple[str, int, int, float, int]]:
+        """(label, first word, end, share covered, words matched) of each template's chained matches.
 
-        A match joins the template's chain if it starts at most ``MAX_GAP`` words after
-        it and stands at about the same shift in the template as the chain before.
+        A match joins a chain of its template if it starts at most ``MAX_GAP`` words after
+        it and stands at about the same shift in the template as the chain before. Words
+        that occur in a template several times keep all their shifts until one is left.
         """
-        chains: dict[int, list[list[int]]] = {}
-        for start, end, state in self.automaton.maximal_matches(tokens):
-            for k, last in self.automaton.ends[state].items():
-                shift, own = last + 1 - end, chains.setdefault(k, [])
-                if own and -1 < start - own[-1][1] <= MAX_GAP and abs(shift - own[-1][3]) <= MAX_GAP:
-                    own[-1][1], own[-1][2], own[-1][3] = end, own[-1][2] + end - start, shift
-                else:
-                    own.append([start, end, end - start, shift])
+        chains: dict[int, list[list]] = {}
+        for k, start, end, places in sorted(self.automaton.template_matches(tokens, self.least), key=lambda m: m[2]):
+            shifts, own = {i + 1 - end for i in places}, chains.setdefault(k, [])
+            for chain in reversed(own):
+                if chain[1] + MAX_GAP < start:
+                    chain = None
+                    break
+                near = {s for s in shifts if any(s + d in chain[3] for d in range(-MAX_GAP, MAX_GAP + 1))}
+                if near:
+                    chain[2] += max(0, end - max(start, chain[1]))
+                    chain[1], chain[3] = max(end, chain[1]), near
+                    break
+            else:
+                chain = None
+            if chain is None:
+                own.append([start, end, end - start, shifts])
         return sorted(
-            (self.labels[k], a, b, min(1.0, n / self.sizes[k])) for k, found in chains.items() for a, b, n, _ in found
+            (self.labels[k], a, b, min(1.0, n / self.sizes[k]), n) for k, found in chains.items() for a, b, n, _ in found
         )
 
+    @staticmethod
+    def best(spans: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+        """The spans that cover enough, but those inside a span that matches more words, or as many better."""
+        found: list[tuple[str, int, int, float, int]] = []
+        for s in sorted((s for s in spans if s[3] >= MIN_COVER), key=lambda s: (-s[4], -s[3], s)):
+            if not any(t[1] <= s[1] and s[2] <= t[2] for t in found):
+                found.append(s)
+        return sorted(found)
+
     def scan(self, text: str) -> dict:
         words = WORD.findall(text.translate(UPPER))
         get = self.vocabulary.get
@@ -165,7 +280,7 @@ class Scanner:
                     starts.append(place)
                     labels.add(label)
         spans = self.spans(tokens)
-        found = [s for s in spans if s[3] >= MIN_COVER]
+        found = self.best(spans)
         return {
             "n_words": len(words),
             "n_base": len(starts),
@@ -174,7 +289,7 @@ class Scanner:
             "base_labels": ",".join(sorted(labels)),
             "labels": ",".join(sorted(labels | {s[0] for s in found})),
             "score": 1.0 if starts else max((s[3] for s in spans), default=0.0),
-            "spans": ",".join(f"{k}:{a}:{b}" for k, a, b, _ in found),
+            "spans": ",".join(f"{k}:{a}:{b}" for k, a, b, *_ in found),
         }
 
 
@@ -183,24 +298,32 @@ ADDED = (
 )
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
     """License wording of every whole text: base phrases, template spans and a score.
 
     A file is streamed once through a generalised suffix automaton of the templates'
     tokens; its state and match length after each word are the matching statistics.
     Matches of at least ``MIN_MATCH`` words are chained within a template over gaps of at
     most ``MAX_GAP`` words; a chain that covers ``MIN_COVER`` of it is a span and gives the
-    template's label. Base phrases are read off the same token stream. ``score`` is 1 with
+    template's label, unless it lies inside a span that matches more. ``templates`` has a
+    label's texts, as a dictionary or as a table (label, text), instead of the stated
+    notices and full texts. Base phrases are read off the same token stream. ``score`` is 1 with
     a base phrase, else the largest share of a template that a chain covers. The automaton
-    holds the stated templates only, so a task's memory is that and one batch of texts.
+    holds the templates only, so a task's memory is that and one batch of texts.
 
     A null or empty text has 0 words, null places, empty labels and score 0. Rows with
     repeated or null ids are scanned on their own; an empty table gives an empty one;
     further columns are ignored. Nothing is shuffled.
     """
 
+    if isinstance(templates, DataFrame):
+        rows = templates.select("label", "text").filter("label IS NOT NULL AND text IS NOT NULL").collect()
+        templates = {k: [t for label, t in rows if label == k] for k in {label for label, _ in rows}}
+    if templates is None:
+        templates = stated_templates()
+
     def start():
-        one = Scanner()
+        one = Scanner(templates)
 
         def scan(texts: list) -> dict:
             rows = [one.scan(t or "") for t in texts]
