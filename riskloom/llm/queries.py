@@ -57,12 +57,18 @@ def op2_near_duplicates(spark, sf_dir):
 @query
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.drop_recurring_lines(docs)
+    return line_dedup.drop_recurring_lines(docs, stated=True)
 
 
 LLM_ORACLE["op7_line_dedup"] = line_dedup.lines_sql()
 
 
+@query
+def op7_recurring_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs)
+
+
 @query
 def op9_benchmark_leaks(spark, sf_dir):
     return decontaminate.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
