@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate, embedding_dedup, html_extract, licenses, line_dedup, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -96,3 +96,11 @@ LLM_ORACLE["op10_near_vectors"] = LLM_ORACLE_VECTORS
 @query
 def op3_page_texts(spark, sf_dir):
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_manifest_proofs(spark, sf_dir):
+    return merkle.manifest_proofs(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op11_manifest_proofs"] = merkle.MERKLE_SQL.replace("{docs}", "documents")
