@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -104,3 +104,11 @@ def op11_manifest_proofs(spark, sf_dir):
 
 
 LLM_ORACLE["op11_manifest_proofs"] = merkle.MERKLE_SQL.replace("{docs}", "documents")
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+LLM_ORACLE["op12_conversation_repair"] = conversation_repair.REPAIR_SQL
