@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, quality, secret_scan, token_counts
+from riskloom.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, multiset_hash, quality, secret_scan, token_counts
 from riskloom.session import run_path
 from riskloom.sources.applications import table
 
@@ -112,3 +112,11 @@ def op12_conversation_repair(spark, sf_dir):
 
 
 LLM_ORACLE["op12_conversation_repair"] = conversation_repair.REPAIR_SQL
+
+
+@query
+def op13_document_fingerprints(spark, sf_dir):
+    return multiset_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op13_document_fingerprints"] = multiset_hash.FINGERPRINT_SQL
