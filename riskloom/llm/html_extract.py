@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,34 +43,63 @@ HINT, HEADING, LONG, ENDED, LINKED, OUTSIDE, START = 4.0, 1.0, 1.5, 0.5, -3.0, -
 NEXT, KIN = 0.8, 0.6  # smoothness of neighbours and of blocks under one parent
 
 
+class Element(NamedTuple):
+    """An open element and what its block's score needs of those around it."""
+
+    tag: str
+    number: int
+    hint: int  # the nearest one that says anything, itself included
+    heading: bool  # in a heading
+    article: bool  # in something that says content
+
+
 class Blocks(HTMLParser):
-    """A page as blocks of text, each with its path of elements and its linked share."""
+    """A page as blocks of text, each with its place among the elements and its linked share."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.path: list[tuple[str, int, int]] = []  # element, hint, number
+        self.path: list[Element] = []
+        self.outer: list[int] = []  # numbers of the open elements that aren't inline
+        self.open: Counter[str] = Counter()
         self.blocks: list[dict] = []
         self.parts: list[str] = []
         self.linked = self.unseen = self.number = 0
+        self.common = 0  # outer elements that have stayed open since the last block
+
+    def parse_html_declaration(self, i: int) -> int:
+        """A declaration that has no name is a comment, as browsers read it."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
 
     def _end_block(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append({"text": text, "path": [p for p in self.path if p[0] not in INLINE], "linked": self.linked})
+                at = self.path[-1] if self.path else Element("", 0, 0, False, False)
+                parent = self.outer[-2] if len(self.outer) > 1 else 0
+                self.blocks.append({"text": text, "at": at, "depth": len(self.outer), "common": self.common, "parent": parent, "linked": self.linked})
+                self.common = len(self.outer)
             self.parts = []
         self.linked = 0
 
     def _pop_to(self, at: int) -> None:
-        for tag, _, _ in self.path[at:]:
-            self.unseen -= tag in UNSEEN
+        for element in self.path[at:]:
+            self.open[element.tag] -= 1
+            self.unseen -= element.tag in UNSEEN
+            if element.tag not in INLINE:
+                self.outer.pop()
+        self.common = min(self.common, len(self.outer))
         del self.path[at:]
 
     def _find(self, tags: set[str], stop: set[str]) -> int | None:
+        if not any(self.open[tag] for tag in tags):
+            return None
         for i in range(len(self.path) - 1, -1, -1):
-            if self.path[i][0] in tags:
+            if self.path[i].tag in tags:
                 return i
-            if self.path[i][0] in stop:
+            if self.path[i].tag in stop:
                 return None
         return None
 
@@ -94,14 +124,22 @@ class Blocks(HTMLParser):
             if tag == "body" and (at := self._find({"head"}, set())) is not None:
                 self._pop_to(at)
         self.number += 1
-        self.path.append((tag, self._hint(tag, attrs), self.number))
+        around = self.path[-1] if self.path else Element("", 0, 0, False, False)
+        own = self._hint(tag, attrs)
+        if tag in INLINE:  # says nothing of a block
+            element = Element(tag, self.number, *around[2:])
+        else:
+            element = Element(tag, self.number, own or around.hint, around.heading or tag in HEADINGS, around.article or own == 1)
+            self.outer.append(self.number)
+        self.path.append(element)
+        self.open[tag] += 1
         self.unseen += tag in UNSEEN
 
     def _hint(self, tag: str, attrs: list) -> int:
         if tag in OTHER_ELEMENTS:
             return -1
         if tag == "header":
-            return 0 if any(p[0] in PLAIN_ELEMENTS for p in self.path) else -1
+            return 0 if any(self.open[t] for t in PLAIN_ELEMENTS) else -1
         names: set[str] = set()
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
@@ -129,7 +167,7 @@ class Blocks(HTMLParser):
         if self.unseen:
             return
         self.parts.append(data)
-        if any(p[0] == "a" for p in self.path):
+        if self.open["a"]:
             self.linked += len(data.strip())
 
     def close(self) -> None:
@@ -139,24 +177,20 @@ class Blocks(HTMLParser):
 
 def log_odds(block: dict, has_article: bool) -> float:
     """How much a block looks like content (over 0) rather than boilerplate."""
-    text, path = block["text"], block["path"]
-    hint = next((h for _, h, _ in reversed(path) if h), 0)
+    text, at = block["text"], block["at"]
     # What stands in a menu, a form or a comment isn't content, whatever stands around it.
-    odds = START + HINT * hint + LONG * min(1.0, (text.count(" ") + 1) / 20) + ENDED * text.endswith(SENTENCE_END)
-    odds += LINKED * min(1.0, block["linked"] / len(text)) + HEADING * any(t in HEADINGS for t, _, _ in path)
-    return odds + (OUTSIDE if has_article and hint != 1 else 0.0)
+    odds = START + HINT * at.hint + LONG * min(1.0, (text.count(" ") + 1) / 20) + ENDED * text.endswith(SENTENCE_END)
+    odds += LINKED * min(1.0, block["linked"] / len(text)) + HEADING * at.heading
+    return odds + (OUTSIDE if has_article and at.hint != 1 else 0.0)
 
 
 def smoothness(blocks: list[dict]) -> list[tuple[int, int, float]]:
     """Edges between neighbours, by the share of their paths, and to the last block of a parent."""
     edges, last = [], {}
     for i, block in enumerate(blocks):
-        path = [n for _, _, n in block["path"]]
         if i:
-            before = [n for _, _, n in blocks[i - 1]["path"]]
-            common = sum(a == b for a, b in zip(path, before, strict=False))
-            edges.append((i - 1, i, NEXT * common / max(len(path), len(before), 1)))
-        parent = path[-2] if len(path) > 1 else 0
+            edges.append((i - 1, i, NEXT * block["common"] / max(block["depth"], blocks[i - 1]["depth"], 1)))
+        parent = block["parent"]
         if parent in last and last[parent] != i - 1:
             edges.append((last[parent], i, KIN))
         last[parent] = i
@@ -166,39 +200,45 @@ def smoothness(blocks: list[dict]) -> list[tuple[int, int, float]]:
 def minimum_cut(terminal: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay on the source's side of a minimum cut.
 
-    ``terminal`` is a node's capacity from the source less that to the sink. Flow is pushed
-    along shortest paths from nodes with spare capacity from the source to nodes with
-    spare capacity to the sink until none is left; what the source then reaches is its side.
+    ``terminal`` is a node's capacity from the source less that to the sink. Each node with
+    spare capacity from the source pushes flow along shortest paths to the nearest nodes
+    with spare capacity to the sink. When none can be reached, all that it reaches is on
+    the source's side, and no later path can lead through there, so these nodes are closed:
+    searches stay near their source and a closed node is never seen again.
     """
     spare = list(terminal)
     room: list[dict[int, float]] = [{} for _ in terminal]
     for a, b, w in edges:
         room[a][b] = room[a].get(b, 0.0) + w
         room[b][a] = room[b].get(a, 0.0) + w
-    while True:
-        parent = {i: i for i, c in enumerate(spare) if c > 1e-12}
-        queue, end = deque(parent), None
-        while queue and end is None:
-            a = queue.popleft()
-            for b, w in room[a].items():
-                if w > 1e-12 and b not in parent:
-                    parent[b] = a
-                    if spare[b] < -1e-12:
-                        end = b
-                        break
-                    queue.append(b)
-        if end is None:
-            return [i in parent for i in range(len(spare))]
-        path = [end]
-        while parent[path[-1]] != path[-1]:
-            path.append(parent[path[-1]])
-        path.reverse()
-        push = min(spare[path[0]], -spare[end], *[room[a][b] for a, b in zip(path, path[1:], strict=False)])
-        spare[path[0]] -= push
-        spare[end] += push
-        for a, b in zip(path, path[1:], strict=False):
-            room[a][b] -= push
-            room[b][a] += push
+    closed = [False] * len(spare)
+    for source in range(len(spare)):
+        while spare[source] > 1e-12 and not closed[source]:
+            parent, queue, end = {source: source}, deque([source]), None
+            while queue and end is None:
+                a = queue.popleft()
+                for b, w in room[a].items():
+                    if w > 1e-12 and b not in parent and not closed[b]:
+                        parent[b] = a
+                        if spare[b] < -1e-12:
+                            end = b
+                            break
+                        queue.append(b)
+            if end is None:
+                for a in parent:
+                    closed[a] = True
+                break
+            path = [end]
+            while parent[path[-1]] != path[-1]:
+                path.append(parent[path[-1]])
+            path.reverse()
+            push = min(spare[source], -spare[end], *[room[a][b] for a, b in zip(path, path[1:], strict=False)])
+            spare[source] -= push
+            spare[end] += push
+            for a, b in zip(path, path[1:], strict=False):
+                room[a][b] -= push
+                room[b][a] += push
+    return closed
 
 
 def main_text(html: str | None) -> str:
@@ -209,7 +249,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     blocks = parser.blocks
-    has_article = any(h == 1 for b in blocks for _, h, _ in b["path"])
+    has_article = any(b["at"].article for b in blocks)
     odds = [log_odds(b, has_article) for b in blocks]
     keep = minimum_cut(odds, smoothness(blocks))
     return "\n".join(b["text"] for b, k in zip(blocks, keep, strict=True) if k)
