@@ -9,27 +9,38 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.constants import BOOSTED_GRID, DEEPEST_TREE, FOREST_GRID, KFOLDS, ROW_ID
-from riskloom.operators import closed_form
+from riskloom.functions.order_stats import order_statistics
+from riskloom.operators import boosting, closed_form
 from riskloom.operators.columns import design
-from riskloom.operators.iterative import boosted_trees, iterative_models, random_forest
+from riskloom.operators.iterative import iterative_models, random_forest
 from riskloom.operators.metrics import score
 from riskloom.operators.moments import class_moments
 from riskloom.operators.neighbors import knn_cross_predict
 from riskloom.session import pin, run_path
 
 
+BOOST_ROWS = 200_000  # rows that every point of the boosted grid learns from, at most
+ROWS_PER_TASK = 2_500  # of a sample that iterative fits pass over many times
+
+
 def sampled(df: DataFrame, fit_rows: int | None) -> DataFrame:
-    """At most ``fit_rows`` labelled rows, those whose ids hash lowest."""
+    """About ``fit_rows`` labelled rows, those whose ids hash lowest; ids of one hash come together.
+
+    The hash to cut at is found by exact selection, so the table isn't sorted, and the rows
+    are dealt to as many tasks as there are ``ROWS_PER_TASK`` in them.
+    """
     if fit_rows is None:
         return df
-    return df.orderBy(F.xxhash64(ROW_ID), ROW_ID).limit(fit_rows)
+    hashed = df.select(F.xxhash64(ROW_ID).alias("h"))
+    found = order_statistics(hashed, "h", lambda n: [min(fit_rows, n) - 1] if n else [])
+    n, at = found.get((), (0, {}))
+    kept = df.filter(F.xxhash64(ROW_ID) <= F.lit(next(iter(at.values())))) if n > fit_rows else df
+    return kept.repartition(-(-min(fit_rows, max(n, 1)) // ROWS_PER_TASK), ROW_ID)
 
 
 def cross_predict(
@@ -108,26 +119,6 @@ def grid_points(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def _search(df: DataFrame, estimator, points: list[dict], maps: list[dict], folds: int, threads: int):
-    """``CrossValidator`` on recall with given folds; returns (grid table, refitted best model)."""
-    recall = MulticlassClassificationEvaluator(metricName="recallByLabel", metricLabel=1.0)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=recall,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=threads,
-    )
-    found = search.fit(df)
-    rows = [
-        (i, ", ".join(f"{k}={v}" for k, v in point.items()), float(mean), float(std))
-        for i, (point, mean, std) in enumerate(zip(points, found.avgMetrics, found.stdMetrics))
-    ]
-    table = df.sparkSession.createDataFrame(rows, "grid_index int, params string, mean_score double, std_score double")
-    return table, found.bestModel
-
-
 def node_arrays(model, spark: SparkSession) -> list[tuple[np.ndarray, ...]]:
     """(feature, threshold, left, right, positive share) of each tree of a fitted forest.
 
@@ -240,21 +231,22 @@ def forest_grid_search(
 
 
 def boosted_grid_search(
-    df: DataFrame, grid: dict[str, list] = BOOSTED_GRID, rounds: int = 100, folds: int = 5, threads: int = 4
+    df: DataFrame,
+    n_features: int,
+    grid: dict[str, list] = BOOSTED_GRID,
+    rounds: int = 100,
+    folds: int = 5,
+    fit_rows: int = BOOST_ROWS,
 ):
-    """Search boosted trees over depth, leaf size, gain, row share and column share."""
-    boosted, points = boosted_trees(rounds), grid_points(grid)
-    maps = [
-        {
-            boosted.maxDepth: p["max_depth"],
-            boosted.minInstancesPerNode: p["min_child_weight"],
-            boosted.minInfoGain: p["gamma"],
-            boosted.subsamplingRate: p["subsample"],
-            boosted.featureSubsetStrategy: str(p["colsample_bytree"]),
-        }
-        for p in points
-    ]
-    return _search(df, boosted, points, maps, folds, threads)
+    """Search boosted trees over depth, leaf size, gain, row share and column share.
+
+    Every point learns from the same ``fit_rows`` rows less a fold, and is scored on all
+    rows; returns the grid and the best point's trees, learned from as many rows.
+    """
+    sample = pin(sampled(df, fit_rows), "boost-rows")
+    table = pin(boosting.boosted_grid(df, sample, n_features, grid, folds, rounds), "boosted-grid")
+    best = grid_points(grid)[best_of(table).first()["grid_index"]]
+    return table, boosting.fit_boosted(sample, n_features, best, rounds)
 
 
 def smoothing_grid_search(df: DataFrame, features: list[str], grid: list[float], metric: str = "recall") -> DataFrame:

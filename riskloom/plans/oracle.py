@@ -531,8 +531,8 @@ ORACLE: dict[str, str] = {
     "dated_landing": f"""SELECT application_id, purpose, credit_amount,
       CASE WHEN application_id % 2 = 0 THEN 20230512 ELSE 20230513 END AS batch_nr FROM ({APPS})""",
     "lineage_append": f"""SELECT b AS batch_nr, t AS timestamp, s AS step, 'applications' AS source, s AS destination, n AS rows_out
-      FROM (VALUES (20230512, '2023-05-12 07:30:00', 'raw'), (20230513, '2023-05-13 07:30:00', 'curation')) v(b, t, s),
-           (SELECT count(*) AS n FROM ({APPS}))""",
+      FROM (VALUES (20230512, '2023-05-12 07:30:00', 'raw', 0), (20230513, '2023-05-13 07:30:00', 'curation', 1)) v(b, t, s, odd)
+      JOIN (SELECT application_id % 2 AS odd, count(*) AS n FROM ({APPS}) GROUP BY 1) USING (odd)""",
     "classified_by_bayes": GNB
     + f"SELECT a.*, s.prediction FROM ({APPS}) a JOIN scored s USING (application_id)",
 }

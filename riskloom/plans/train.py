@@ -16,6 +16,7 @@ from riskloom.operators.folds import with_kfold, with_split, with_stratified_kfo
 from riskloom.operators.iterative import iterative_models, random_forest
 from riskloom.operators.metrics import classification_report, confusion_matrix, roc_curve, score
 from riskloom.operators.selection import (
+    BOOST_ROWS,
     best_of,
     boosted_grid_search,
     compare_models,
@@ -74,7 +75,7 @@ def test_scores(predictions: DataFrame, model: str) -> DataFrame:
 @dataclass
 class Search:
     """What is compared and searched. ``fit_rows`` bounds the labelled rows that an iterative
-    fit of the comparison learns from (None: all); every row is scored all the same."""
+    fit learns from (None: all, ``BOOST_ROWS`` for the boosted grid); every row is scored."""
 
     forest: dict = field(default_factory=lambda: FOREST_GRID)
     boosted: dict = field(default_factory=lambda: BOOSTED_GRID)
@@ -117,13 +118,15 @@ def train_models(spark: SparkSession, curated: str, destination: str, search: Se
     save(table, "forest_grid")
     save(best_of(table), "forest_best")
     keep_model(forest, "forest_best")
-    table, boosted = boosted_grid_search(assembled, search.boosted, search.rounds, search.grid_folds, search.threads)
+    table, boosted = boosted_grid_search(
+        assembled, p, search.boosted, search.rounds, search.grid_folds, min(search.fit_rows or BOOST_ROWS, BOOST_ROWS)
+    )
     save(table, "boosted_grid")
     save(best_of(table), "boosted_best")
-    keep_model(boosted, "boosted_best")
+    save(boosted.to_table(spark), "models/boosted_best")
     evaluated["boosted_best"] = boosted.transform(test)
 
-    fixed, evaluated["forest_fixed"] = fit_fixed_forest(data)
+    fixed, evaluated["forest_fixed"] = fit_fixed_forest(data, fit_rows=search.fit_rows)
     keep_model(fixed, "forest_fixed")
     everything = design(data.rows, data.features, target="label", keep=("split",))
     save(fixed.transform(everything).select("application_id", "split", "label", "prediction"), "scored")
