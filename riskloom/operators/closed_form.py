@@ -239,16 +239,18 @@ def cross_predict(
     fold: str = "fold",
     positive: float = 1.0,
     moments: dict[int, ByClass] | None = None,
+    models: dict[int, object] | None = None,
 ) -> DataFrame:
     """Out-of-fold predictions: every row is scored by the model fitted without its fold.
 
     One statistics pass fits all folds. Their numbers form a parameter table with one
     row per fold, which is all that is broadcast; one scoring pass then applies the
     same expression to every row with its fold's numbers. Several models can share
-    the statistics by passing ``moments``.
+    the statistics by passing ``moments``; models that are already fitted come as ``models``.
     """
-    moments = moments or class_moments(df, features, fold, needs_products(fitter))
-    models = {f: fitter(all_but(moments, f), features) for f in sorted(moments)}
+    if models is None:
+        moments = moments or class_moments(df, features, fold, needs_products(fitter))
+        models = {f: fitter(all_but(moments, f), features) for f in sorted(moments)}
     numbers = {f: {n: float(x) for n, x in model.numbers().items()} for f, model in models.items()}
     # The model with the most classes names all numbers; a class that a fold's training
     # rows lack gets an impossible score there.

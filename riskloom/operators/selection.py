@@ -18,6 +18,7 @@ from riskloom.functions.order_stats import order_statistics
 from riskloom.operators import boosting, closed_form
 from riskloom.operators.columns import design
 from riskloom.operators.iterative import iterative_models, random_forest
+from riskloom.operators.logistic import fit_logistic
 from riskloom.operators.metrics import score
 from riskloom.operators.moments import class_moments
 from riskloom.operators.neighbors import knn_cross_predict
@@ -84,6 +85,11 @@ def closed_form_scores(df: DataFrame, features: list[str], metric: str = "recall
     return reduce(DataFrame.unionByName, parts)
 
 
+def logistic_cross_predict(df: DataFrame, features: list[str], fold: str = "fold") -> DataFrame:
+    """Out-of-fold predictions of ridge logistic regression, fitted on all rows of the other folds."""
+    return closed_form.cross_predict(df, None, features, fold, models=fit_logistic(df, features, fold))
+
+
 def compare_models(
     df: DataFrame,
     features: list[str],
@@ -95,14 +101,17 @@ def compare_models(
 ) -> DataFrame:
     """Fold scores of all eight models on rows with ``label`` and ``fold``.
 
-    ``fit_rows`` bounds the labelled rows that an iterative fit learns from (None: all);
-    every row is scored.
+    ``fit_rows`` bounds the labelled rows that a tree, ensemble or kernel fit learns from
+    (None: all); the other models learn from all, and every row is scored.
     """
     assembled = pin(design(df, features, target="label", keep=("fold",)), "compared")
     n_rows = assembled.count() * (folds - 1) // folds
     parts = [closed_form_scores(df, features, metric)]
+    parts.append(fold_scores(logistic_cross_predict(df, features), "LR", metric))
     parts.append(fold_scores(knn_cross_predict(df, features), "KNN", metric))
     for name, estimator in models(min(n_rows, fit_rows or n_rows), len(features)).items():
+        if name == "LR":
+            continue
         predictions = cross_predict(assembled, estimator, folds, threads, fit_rows)
         parts.append(fold_scores(predictions, name, metric))
     return reduce(DataFrame.unionByName, parts)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import ROW_ID
 from riskloom.functions.scalars import batch_number, local_time
-from riskloom.operators import boosting, closed_form, columns, encode, features, folds, governance, iterative, metrics
+from riskloom.operators import boosting, closed_form, columns, encode, features, folds, governance, iterative, logistic, metrics
 from riskloom.operators import neighbors, profile, selection
 from riskloom.operators.conform import conform
 from riskloom.operators.moments import all_but, class_moments, gaps, merge
@@ -516,7 +516,19 @@ def fitted_scores(spark, sf_dir, name: str) -> DataFrame:
 
 @query
 def lr_scored(spark, sf_dir):
-    return fitted_scores(spark, sf_dir, "LR")
+    """Test rows under ridge logistic regression on all features and all training rows."""
+    data = model_data(spark, sf_dir)
+    model = logistic.fit_logistic(data.train, data.features)[logistic.EVERY]
+    scored = closed_form.predict(data.test, model)
+    return rounded(scored.select(ROW_ID, "label", "prediction", "probability"), "probability")
+
+
+@query
+def lr_cv_recall(spark, sf_dir):
+    """Recall of all ten folds' logistic regressions, fitted in one job per Newton step."""
+    data = model_data(spark, sf_dir)
+    crossed = selection.logistic_cross_predict(folds.with_kfold(data.train), data.features)
+    return rounded(selection.fold_scores(crossed, "LR"), "value")
 
 
 @query

@@ -188,6 +188,37 @@ nb_fold AS (SELECT fold, count(*) FILTER (WHERE label = 1 AND prediction = 1)
             / count(*) FILTER (WHERE label = 1) AS value FROM nb GROUP BY fold)
 """
 
+NEWTON_STEPS = 14
+
+
+def newton() -> str:
+    """CTEs ``fitted`` (held, w) and, from ``m`` (held out: ``fold``) and ``held``, their Newton steps.
+
+    Each step adds up the weighted Gram matrix, of which Gauss-Jordan elimination, a stage
+    per column, leaves the step in the last column.
+    """
+    q = len(FEATURES) + 1
+    x = ["1.0"] + [f'"{f}"' for f in FEATURES]
+    margin = " + ".join(f"w[{i + 1}] * {v}" for i, v in enumerate(x))
+    sums = ", ".join(f"sum(c * {x[i]} * {x[j]}) AS h_{i}_{j}" for i in range(q) for j in range(i, q))
+    slopes = ", ".join(f"sum((p - label) * {x[i]}) + {'0' if i == 0 else f'any_value(w)[{i + 1}]'} AS g_{i}" for i in range(q))
+    cell = lambda i, j: f"h_{min(i, j)}_{max(i, j)}" + (" + 1" if i == j and i > 0 else "")
+    rows = ", ".join("[" + ", ".join([*[cell(i, j) for j in range(q)], f"g_{i}"]) + "]" for i in range(q))
+    stage = f"SELECT held, step, w, [{rows}] AS a FROM gram_here"
+    for k in range(1, q + 1):
+        stage = f"""SELECT held, step, w, list_transform(a, lambda r, i: CASE WHEN i = {k} THEN r
+            ELSE list_transform(r, lambda v, j: v - r[{k}] * a[{k}][j] / a[{k}][{k}]) END) AS a FROM ({stage})"""
+    gram = f"""SELECT held, step, any_value(w) AS w, {sums}, {slopes} FROM
+        (SELECT *, p * (1 - p) AS c FROM (SELECT m.*, n.held, n.step, n.w, 1 / (1 + exp(-({margin}))) AS p
+         FROM newton n JOIN m ON m.fold IS DISTINCT FROM n.held WHERE n.step < {NEWTON_STEPS})) GROUP BY held, step"""
+    stage = stage.replace("gram_here", f"({gram})")
+    return f"""newton AS (SELECT held, 0 AS step, list_transform(range({q}), lambda i: 0.0::DOUBLE) AS w FROM held
+    UNION ALL SELECT held, step + 1, list_transform(w, lambda v, i: v - a[i][{q + 1}] / a[i][i]) FROM ({stage})),
+fitted AS (SELECT held, w FROM newton WHERE step = {NEWTON_STEPS})"""
+
+
+_LR_MARGIN = " + ".join(["w[1]"] + [f'w[{i + 2}] * "{f}"' for i, f in enumerate(FEATURES)])
+
 RULED = f"""
 SELECT application_id, CASE WHEN risk = 'bad' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
        credit_amount / duration AS score,
@@ -386,6 +417,14 @@ ORACLE: dict[str, str] = {
  round(1 / (1 + exp(-{_LDA_MARGIN})), 6) AS probability FROM m, par WHERE split = 'test'""",
     "lda2_cv_recall": LDA_CV
     + "SELECT 'LDA' AS model, CAST(fold AS INT) AS fold, 'recall' AS metric, round(value, 6) AS value FROM lda_fold",
+    "lr_scored": f"""WITH RECURSIVE a AS MATERIALIZED ({MODEL}), m AS MATERIALIZED (SELECT *, 0 AS fold FROM a WHERE split = 'train'),
+held AS (SELECT -1 AS held), {newton()}
+SELECT application_id, label, CASE WHEN s > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(1 / (1 + exp(-s)), 6) AS probability
+FROM (SELECT application_id, label, {_LR_MARGIN} AS s FROM a, fitted WHERE split = 'test')""",
+    "lr_cv_recall": f"""WITH RECURSIVE m AS MATERIALIZED (SELECT *, ntile(10) OVER (ORDER BY application_id) - 1 AS fold FROM ({MODEL}) WHERE split = 'train'),
+held AS (SELECT DISTINCT fold AS held FROM m), {newton()}
+SELECT 'LR' AS model, CAST(fold AS INT) AS fold, 'recall' AS metric, round(avg(CASE WHEN {_LR_MARGIN} > 0 THEN 1 ELSE 0 END), 6) AS value
+FROM m JOIN fitted ON fold = held WHERE label = 1 GROUP BY fold""",
     "closed_form_ranking": NB2_CV
     + """SELECT 'LDA' AS model, round(avg(value), 6) AS mean_score, round(stddev_pop(value), 6) AS std_score FROM lda_fold
  UNION ALL SELECT 'NB', round(avg(value), 6), round(stddev_pop(value), 6) FROM nb_fold""",
