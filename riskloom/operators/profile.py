@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 from riskloom.functions.order_stats import column_quantiles
 from riskloom.functions.running import running_totals
 from riskloom.functions.scalars import quoted
+from riskloom.operators import gram
 from riskloom.operators.columns import numeric_columns, string_columns
 from riskloom.session import pin
 
@@ -219,30 +219,8 @@ def text_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
-def _pairs(columns: list[str]) -> list[tuple[str, str]]:
-    return list(combinations(columns, 2))
-
-
-def _one_row_to_pairs(row: DataFrame, pairs: list[tuple[str, str]], name: str) -> DataFrame:
-    """Spread ``p0, p1, ...`` of a single row over one row per column pair."""
-    cells = [
-        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), F.col(f"p{i}").alias(name))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-
-
-def _correlation(a: Column, b: Column) -> Column:
-    """Pearson over rows where both are present; NULL when one of them is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    a, b = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
-
-
 def pearson(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    pairs = _pairs(columns or numeric_columns(df))
-    row = df.agg(*[_correlation(quoted(a), quoted(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return _one_row_to_pairs(row, pairs, "pearson")
+    return gram.pearson(df, columns or numeric_columns(df))
 
 
 def average_ranks(df: DataFrame, columns: list[str], rows_per_bucket: int = 1_000_000) -> DataFrame:
@@ -277,30 +255,36 @@ def spearman(df: DataFrame, columns: list[str] | None = None, rows_per_bucket: i
     for i, v in enumerate(named):
         own = ranks.filter(F.col("column") == v).select(F.col("value").alias("_k"), F.col("rank").alias(f"_rank{i}"))
         ranked = ranked.join(own, F.col(v) == F.col("_k"), "left").drop("_k")
-    pairs = _pairs(columns)
-    rank = {c: F.col(f"_rank{i}") for i, c in enumerate(columns)}
-    row = ranked.agg(*[_correlation(rank[a], rank[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return _one_row_to_pairs(row, pairs, "spearman")
+    renamed = ranked.select(*[F.col(f"_rank{i}").alias(c) for i, c in enumerate(columns)])
+    return gram.pearson(renamed, columns, "spearman")
 
 
 def cramers_v(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Association of categorical pairs, plain and corrected for bias.
 
-    All contingency tables come from one aggregate over (pair, level, level).
+    Distinct rows are counted first; their cells, a pair of levels each with the row's
+    count, make all contingency tables in one aggregate. The plan holds each column once.
     """
-    pairs = _pairs(columns or string_columns(df))
-    cells = [
-        F.struct(
-            F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), quoted(a).alias("a"), quoted(b).alias("b")
+    columns = columns or string_columns(df)
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "left_column string, right_column string, cramers_v double, cramers_v_corrected double")
+    levels = F.array(*[quoted(c).cast("string") for c in columns]).alias("levels")
+    rows = df.select(levels).groupBy("levels").agg(F.count("*").alias("rows"))
+    name, last = F.array(*[F.lit(c) for c in columns]), len(columns) - 1
+
+    def pair(i: Column, j: Column) -> Column:
+        return F.struct(
+            F.get(name, i).alias("left_column"), F.get(name, j).alias("right_column"), F.get("levels", i).alias("a"), F.get("levels", j).alias("b")
         )
-        for a, b in pairs
-    ]
+
+    pairs = F.flatten(
+        F.transform(F.sequence(F.lit(0), F.lit(last - 1)), lambda i: F.transform(F.sequence(i + 1, F.lit(last)), lambda j: pair(i, j)))
+    )
     counts = (
-        df.select(F.explode(F.array(*cells)).alias("c"))
-        .select("c.*")
+        rows.select("rows", F.inline(pairs))
         .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
         .groupBy("left_column", "right_column", "a", "b")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("rows").alias("n"))
     )
     pair = ["left_column", "right_column"]
     # Margins are aggregated and joined back, so a frequent level is never one window.
@@ -328,14 +312,7 @@ def cramers_v(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def nullity_correlation(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Do gaps occur together? Correlation of the is-missing flags; NULL when one never varies."""
-    pairs = _pairs(columns or df.columns)
-    row = df.agg(
-        *[
-            _correlation(quoted(a).isNull().cast("int"), quoted(b).isNull().cast("int")).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return _one_row_to_pairs(row, pairs, "nullity_correlation")
+    return gram.nullity(df, columns or df.columns)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

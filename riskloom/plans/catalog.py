@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import ROW_ID
 from riskloom.functions.scalars import batch_number, local_time
-from riskloom.operators import boosting, closed_form, columns, encode, features, folds, governance, iterative, logistic, metrics
-from riskloom.operators import neighbors, profile, selection
+from riskloom.operators import boosting, closed_form, columns, encode, features, folds, governance, gram, iterative, logistic, metrics
+from riskloom.operators import neighbors, profile, profile_state, selection
 from riskloom.operators.conform import conform
 from riskloom.operators.moments import all_but, class_moments, gaps, merge
 from riskloom.plans import batch, train
@@ -477,6 +477,36 @@ def nullity_corr(spark, sf_dir):
     return rounded(found, "nullity_correlation")
 
 
+def yearly_states(spark, sf_dir) -> str:
+    """A folder of profile states, one batch for each year of orders, the first sent twice."""
+    path = run_path(spark, "states")
+    orders = pin(table(spark, sf_dir, "orders"), "orders")
+    years = [r[0] for r in orders.select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]
+    for year in [*years, years[0]]:
+        profile_state.add_batch(orders.filter(F.year("o_orderdate") == year), year, path)
+    return path
+
+
+@query
+def profile_by_batches(spark, sf_dir):
+    """Counts, means and extremes of orders merged from yearly states; no order is read again."""
+    found = profile_state.profile_so_far(spark, yearly_states(spark, sf_dir))
+    return rounded(found.select("column", "n_batches", "n_rows", "n_null", "mean", "min", "max"), "mean", places=4)
+
+
+@query
+def profile_sketched(spark, sf_dir):
+    """Distinct counts and quantiles of orders as merged sketches estimate them."""
+    return profile_state.profile_so_far(spark, yearly_states(spark, sf_dir)).drop("mean", "min", "max")
+
+
+@query
+def null_patterns(spark, sf_dir):
+    """Which columns the applicants lack together."""
+    rows = applications(spark, sf_dir).drop(ROW_ID)
+    return gram.null_patterns(rows, rows.columns)
+
+
 @query
 def duplicates(spark, sf_dir):
     return profile.duplicate_rows(lines(spark, sf_dir))

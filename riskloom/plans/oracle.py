@@ -569,6 +569,14 @@ FROM m JOIN fitted ON fold = held WHERE label = 1 GROUP BY fold""",
         WHEN no_amount THEN 'unscored credit_amount' ELSE 'scored' END AS outcome FROM d""",
     "dated_landing": f"""SELECT application_id, purpose, credit_amount,
       CASE WHEN application_id % 2 = 0 THEN 20230512 ELSE 20230513 END AS batch_nr FROM ({APPS})""",
+    "profile_by_batches": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(DISTINCT year(o_orderdate)) AS n_batches, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+ {f'round(avg({c}::DOUBLE), 4)' if numeric else 'NULL::DOUBLE'} AS mean, {f'min({c})::DOUBLE' if numeric else 'NULL::DOUBLE'} AS min,
+ {f'max({c})::DOUBLE' if numeric else 'NULL::DOUBLE'} AS max FROM orders"""
+        for c, numeric in [("o_orderkey", 1), ("o_custkey", 1), ("o_orderstatus", 0), ("o_totalprice", 1), ("o_orderdate", 0), ("o_orderpriority", 0)]
+    ),
+    "null_patterns": f"""SELECT concat({", ".join(f"CASE WHEN {c} IS NULL THEN '1' ELSE '0' END" for c in APP_COLUMNS)}) AS gaps, count(*) AS n
+ FROM ({APPS}) GROUP BY 1""",
     "lineage_append": f"""SELECT b AS batch_nr, t AS timestamp, s AS step, 'applications' AS source, s AS destination, n AS rows_out
       FROM (VALUES (20230512, '2023-05-12 07:30:00', 'raw', 0), (20230513, '2023-05-13 07:30:00', 'curation', 1)) v(b, t, s, odd)
       JOIN (SELECT application_id % 2 AS odd, count(*) AS n FROM ({APPS}) GROUP BY 1) USING (odd)""",

@@ -197,3 +197,23 @@ def test_forest_grid_has_every_point(data):
     grid = {"max_depth": [2, None], "n_estimators": [1, 4], "max_features": [3, 99]}
     table = selection.forest_grid(rows, len(data.features), grid, folds=2, fit_rows=300).collect()
     assert sorted(r["grid_index"] for r in table) == list(range(8)) and all(0 <= r["mean_score"] <= 1 for r in table)
+
+
+def test_leaves_stay_small_in_every_cell(spark):
+    """The tree has many top cells, and leaves near the wanted size in each."""
+    rng = np.random.default_rng(6)
+    rows = [(i, float(i % 2), 0, [float(v) for v in p]) for i, p in enumerate(rng.normal(0, 1, (4_000, 3)))]
+    points = pin(spark.createDataFrame(rows, "id bigint, label double, fold int, x array<double>"), "points")
+    top = neighbors._top_cells(points, 4_000, 60, 3)
+    placed = neighbors._with_leaf(points, "id", top, None, 60, 500)
+    cuts = neighbors._leaf_cuts(pin(placed, "points"), 60, 3)
+    leaves = neighbors._with_leaf(placed, "id", top, cuts, 60, 500).groupBy("top", "leaf").count().collect()
+    assert sum(r["count"] for r in leaves) == 4_000
+    assert len({r["top"] for r in leaves}) == 16 and len(leaves) > 60
+    assert max(r["count"] for r in leaves) <= 120
+
+
+def test_no_training_rows_give_no_neighbours(spark):
+    df = spark.createDataFrame([(1, 0.0, 1.0)], "application_id bigint, x double, label double")
+    assert neighbors.k_nearest(df.limit(0), df, ["x"]).count() == 0
+    assert neighbors.k_nearest(df, df.limit(0), ["x"]).count() == 0
