@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.constants import AGE_EDGES, AGE_LABELS, PREFIXES, TARGET, TARGET_COMPLEMENT, TARGET_LEVEL
+from riskloom.constants import AGE_EDGES, AGE_LABELS, PREFIXES, ROW_ID, TARGET, TARGET_COMPLEMENT, TARGET_LEVEL
 from riskloom.functions.scalars import quoted
 from riskloom.operators.columns import fill_missing, string_columns
+from riskloom.session import pin
 
 MAX_LEVELS = 1_000
 
@@ -92,6 +94,52 @@ def one_hot_encoder(
     return encoded, [c for c in encoded.columns if c not in df.columns]
 
 
+def level_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, position, level): the sorted distinct values of each column, however many.
+
+    Values are distinct per task before they are shuffled. Positions are dense and ascend
+    by value from 0; they are counted in ranges of the values, so neither one task nor the
+    driver sees a column's levels. A NULL is no level.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("level")) for c in columns])
+    found = pin(df.select(F.inline(cells)).filter(F.col("level").isNotNull()).distinct(), "levels")
+    ordered = found.repartitionByRange("column", "level").sortWithinPartitions("column", "level")
+    numbered = pin(ordered.withColumn("serial", F.monotonically_increasing_id()), "levels")
+    part, row = F.shiftright("serial", 33), F.col("serial").bitwiseAND((1 << 33) - 1)
+    numbered = numbered.select("column", "level", part.alias("part"), row.alias("row"))
+    # One row per partition and column.
+    runs = numbered.groupBy("column", "part").agg(F.count("*").alias("here"), F.min("row").alias("first"))
+    before = W.partitionBy("column").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    shifts = runs.select("column", "part", (F.coalesce(F.sum("here").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return numbered.join(shifts, ["column", "part"]).select("column", (F.col("row") + F.col("shift")).cast("int").alias("position"), "level")
+
+
+def sparse_encode(df: DataFrame, columns: list[str], levels: DataFrame | None = None, row_id: str = ROW_ID) -> DataFrame:
+    """(row id, size, ones): indicators of all ``columns`` side by side as a sparse vector.
+
+    A column with m levels takes m - 1 places, as its first level has none; ``ones`` are the
+    ascending places that hold a 1 and ``size`` counts all places, both zero-based as in
+    ``one_hot_encoder`` over the same columns. Levels come from ``level_table`` (or from an
+    earlier one: unseen levels and NULLs have no place). Rows meet the table by value, a join that
+    is left to Catalyst's measured sizes, so any number of levels is encoded.
+    """
+    levels = pin(level_table(df, columns) if levels is None else levels, "level-table")
+    order = F.array(*[F.lit(c) for c in columns])
+    widths = levels.groupBy("column").agg((F.max("position")).alias("width"))
+    # One number per column reaches the driver.
+    width = {r["column"]: r["width"] for r in widths.collect()}
+    starts, size = [], 0
+    for c in columns:
+        starts.append(size)
+        size += width.get(c, 0)
+    start = F.get(F.array(*[F.lit(s) for s in starts]), F.array_position(order, F.col("column")).cast("int") - 1)
+    placed = levels.filter(F.col("position") > 0).select("column", "level", (start + F.col("position") - 1).alias("place"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("level")) for c in columns])
+    met = df.select(row_id, F.inline(cells)).join(placed, ["column", "level"], "left")
+    ones = F.array_sort(F.array_compact(F.collect_list("place"))).alias("ones")
+    return met.groupBy(row_id).agg(ones).select(row_id, F.lit(size).alias("size"), "ones")
+
+
 def bucketize(
     column: str,
     edges: list[float] = AGE_EDGES,

@@ -90,8 +90,25 @@ def encode_all_strings(spark, sf_dir):
 
 @query
 def encode_null_level(spark, sf_dir):
-    rows = applications(spark, sf_dir).select(ROW_ID, "saving_accounts", "checking_account")
-    return encode.one_hot_encoder(rows, nan_as_category=True)[0]
+    """Every text column of the applicants, a gap as a level of its own."""
+    rows = applications(spark, sf_dir)
+    return encode.one_hot_encoder(rows.select(ROW_ID, *columns.string_columns(rows)), nan_as_category=True)[0]
+
+
+CUSTOMER_TEXTS = ["c_name", "c_mktsegment"]
+
+
+@query
+def level_positions(spark, sf_dir):
+    """The levels of customers' names and segments, a name for each customer, with their places."""
+    return encode.level_table(table(spark, sf_dir, "customer"), CUSTOMER_TEXTS)
+
+
+@query
+def sparse_indicators(spark, sf_dir):
+    """Customers' names and segments as sparse indicators: a place for each name but the first."""
+    found = encode.sparse_encode(table(spark, sf_dir, "customer"), CUSTOMER_TEXTS, row_id="c_custkey")
+    return found.select("c_custkey", "size", F.array_join("ones", ",").alias("ones"))
 
 
 @query

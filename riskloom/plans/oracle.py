@@ -219,6 +219,10 @@ fitted AS (SELECT held, w FROM newton WHERE step = {NEWTON_STEPS})"""
 
 _LR_MARGIN = " + ".join(["w[1]"] + [f'w[{i + 2}] * "{f}"' for i, f in enumerate(FEATURES)])
 
+TEXTS = ("sex", "housing", "saving_accounts", "checking_account", "purpose", "risk")
+CUSTOMER_LEVELS = """SELECT DISTINCT 'c_name' AS "column", c_name AS level FROM customer
+ UNION ALL SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM customer"""
+
 RULED = f"""
 SELECT application_id, CASE WHEN risk = 'bad' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
        credit_amount / duration AS score,
@@ -355,14 +359,16 @@ ORACLE: dict[str, str] = {
     + f" FROM ({READY})",
     "encode_null_level": "SELECT application_id, "
     + ", ".join(
-        [
-            case(c, level, f"{c}_{level}")
-            for c in ("saving_accounts", "checking_account")
-            for level in LEVELS[c][1:-1]
-        ]
-        + [f"CAST({c} IS NULL AS INT) AS {c}_nan" for c in ("saving_accounts", "checking_account")]
+        [case(c, level, f"{c}_{level}") for c in TEXTS for level in [v for v in LEVELS[c] if v != "no_inf"][1:]]
+        + [f"CAST({c} IS NULL AS INT) AS {c}_nan" for c in TEXTS]
     )
     + f" FROM ({APPS})",
+    "level_positions": f"""SELECT "column", CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY level) - 1 AS INT) AS position, level
+ FROM ({CUSTOMER_LEVELS})""",
+    "sparse_indicators": f"""WITH l AS (SELECT "column", level, dense_rank() OVER (PARTITION BY "column" ORDER BY level) - 1 AS place FROM ({CUSTOMER_LEVELS})),
+ w AS (SELECT max(place) FILTER ("column" = 'c_name') AS names, max(place) FILTER ("column" = 'c_mktsegment') AS segments FROM l)
+ SELECT c_custkey, CAST(names + segments AS INT) AS size, concat_ws(',', CASE WHEN n.place > 0 THEN n.place - 1 END, CASE WHEN s.place > 0 THEN names + s.place - 1 END) AS ones
+ FROM customer JOIN l n ON n."column" = 'c_name' AND n.level = c_name JOIN l s ON s."column" = 'c_mktsegment' AND s.level = c_mktsegment, w""",
     "age_bands": f"SELECT age_cat, count(*) AS n, min(age) AS min_age, max(age) AS max_age FROM ({READY}) GROUP BY age_cat",
     "warehouse_projection": f"""SELECT age, sex, job, housing, saving_accounts AS saving_account,
  checking_account AS check_account, duration, purpose FROM ({APPS})""",
