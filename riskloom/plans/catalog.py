@@ -329,7 +329,26 @@ def lda2_cv_recall(spark, sf_dir):
 def lda_scored(spark, sf_dir):
     data = model_data(spark, sf_dir)
     model = closed_form.fit(data.train, closed_form.FITTERS["LDA"], data.features)
-    return closed_form.predict(data.test, model).select(ROW_ID, "label", "prediction", "probability")
+    scored = closed_form.predict(data.test, model).select(ROW_ID, "label", "prediction", "probability")
+    return rounded(scored, "probability")
+
+
+@query
+def lda_cv_recall(spark, sf_dir):
+    """Recall of the discriminant over all features, ten folds from one statistics pass."""
+    data = model_data(spark, sf_dir)
+    crossed = closed_form.cross_predict(folds.with_kfold(data.train), closed_form.FITTERS["LDA"], data.features)
+    return rounded(selection.fold_scores(crossed, "LDA"), "value")
+
+
+@query
+def model_ranking_closed(spark, sf_dir):
+    """The ranking's models whose optimum is unique, over all features and rows."""
+    data = model_data(spark, sf_dir)
+    folded = pin(folds.with_kfold(data.train), "folded")
+    scores = selection.closed_form_scores(folded, data.features)
+    scores = scores.unionByName(selection.fold_scores(selection.logistic_cross_predict(folded, data.features), "LR"))
+    return rounded(selection.summarize(scores), "mean_score", "std_score")
 
 
 @query
@@ -390,14 +409,15 @@ def pca_scores(spark, sf_dir):
 def union_scored(spark, sf_dir):
     data = model_data(spark, sf_dir)
     model = closed_form.fit(data.train, closed_form.FITTERS["UNION"], data.features)
-    return closed_form.predict(data.test, model).select(ROW_ID, "label", "prediction", "probability")
+    scored = closed_form.predict(data.test, model).select(ROW_ID, "label", "prediction", "probability")
+    return rounded(scored, "probability")
 
 
 @query
 def union_cv_accuracy(spark, sf_dir):
     data = model_data(spark, sf_dir)
     crossed = closed_form.cross_predict(folds.with_kfold(data.train), closed_form.FITTERS["UNION"], data.features)
-    return selection.fold_scores(crossed, "UNION", "accuracy")
+    return rounded(selection.fold_scores(crossed, "UNION", "accuracy"), "value")
 
 
 # Profile ------------------------------------------------------------------------
@@ -598,6 +618,31 @@ def gbt_scored(spark, sf_dir):
     return fitted_scores(spark, sf_dir, "XGB")
 
 
+def stump_scores(spark, sf_dir, estimator) -> DataFrame:
+    """Test rows under a single split, learned from all training rows and every feature of few values."""
+    data = model_data(spark, sf_dir)
+    few = [f for f in data.features if f != "credit_amount"]
+    model = estimator(len(few)).fit(columns.design(data.train, few, target="label"))
+    scored = iterative.positive_probability(model.transform(columns.design(data.test, few, target="label")))
+    return rounded(scored.select(ROW_ID, "label", "prediction", "probability"), "probability")
+
+
+@query
+def tree_stump(spark, sf_dir):
+    return stump_scores(spark, sf_dir, lambda p: iterative.decision_tree(1))
+
+
+@query
+def forest_stump(spark, sf_dir):
+    """A forest of one tree that draws neither rows nor features."""
+    return stump_scores(spark, sf_dir, lambda p: iterative.random_forest(p, 1, 1, "all").setBootstrap(False))
+
+
+@query
+def boosted_stump(spark, sf_dir):
+    return stump_scores(spark, sf_dir, lambda p: iterative.boosted_trees(1, 1))
+
+
 @query
 def model_ranking(spark, sf_dir):
     """All eight models by cross-validated recall, at the compared sizes."""

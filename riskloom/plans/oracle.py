@@ -217,8 +217,98 @@ def newton() -> str:
 fitted AS (SELECT held, w FROM newton WHERE step = {NEWTON_STEPS})"""
 
 
+_X = "[" + ", ".join(f'CAST("{f}" AS DOUBLE)' for f in FEATURES) + "]"
+_P = len(FEATURES)
+_PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
+
+
+def _symmetric(cell) -> str:
+    return "[" + ", ".join("[" + ", ".join(cell(min(i, j), max(i, j)) for j in range(_P)) + "]" for i in range(_P)) + "]"
+
+
+def discriminant() -> str:
+    """CTEs from ``m`` and ``held``: ``lda`` (held, w, k), the weights and constant of each margin."""
+    means = ", ".join(f'avg("{f}") AS u_{i}' for i, f in enumerate(FEATURES))
+    scatter = ", ".join(f'covar_pop("{FEATURES[i]}", "{FEATURES[j]}") * count(*) AS c_{i}_{j}' for i, j in _PAIRS)
+    gap = lambda i: f"max(u_{i}) FILTER (WHERE label = 1) - max(u_{i}) FILTER (WHERE label = 0)"
+    middle = lambda i: f"max(u_{i}) FILTER (WHERE label = 1) + max(u_{i}) FILTER (WHERE label = 0)"
+    within = lambda i, j: f"sum(c_{min(i, j)}_{max(i, j)}) / (sum(n) - 2)"
+    rows = "[" + ", ".join("[" + ", ".join([*[within(i, j) for j in range(_P)], gap(i)]) + "]" for i in range(_P)) + "]"
+    stage = f"""SELECT held, ln((max(n) FILTER (WHERE label = 1)) / (max(n) FILTER (WHERE label = 0))) AS odds,
+      [{", ".join(middle(i) for i in range(_P))}] AS mid, {rows} AS a FROM per_class GROUP BY held"""
+    for k in range(1, _P + 1):
+        stage = f"""SELECT held, odds, mid, list_transform(a, lambda r, i: CASE WHEN i = {k} THEN r
+            ELSE list_transform(r, lambda v, j: v - r[{k}] * a[{k}][j] / a[{k}][{k}]) END) AS a FROM ({stage})"""
+    return f"""per_class AS (SELECT held, label, count(*) AS n, {means}, {scatter}
+    FROM m JOIN held ON m.fold IS DISTINCT FROM held GROUP BY held, label),
+solved AS (SELECT held, odds, mid, list_transform(a, lambda r, i: r[{_P + 1}] / r[i]) AS w FROM ({stage})),
+lda AS (SELECT held, w, odds - list_dot_product(mid, w) / 2 AS k FROM solved)"""
+
+
+def union_bayes() -> str:
+    """CTEs from ``m``, ``held`` and ``asked`` (rows with ``held``): ``union_s`` (application_id, held, label, s0, s1).
+
+    Two principal axes by power iteration beside the six best features by F, then naive Bayes.
+    """
+    means = ", ".join(f'avg("{f}")' for f in FEATURES)
+    cov = ", ".join(f'covar_pop("{FEATURES[i]}", "{FEATURES[j]}") AS c_{i}_{j}' for i, j in _PAIRS)
+
+    def power(name: str, source: str) -> str:
+        return f"""{name}_steps AS (SELECT held, 0 AS step, c, list_transform(range({_P}), lambda i: 1.0::DOUBLE) AS v FROM {source}
+ UNION ALL SELECT held, step + 1, c, list_transform(y, lambda e: e / sqrt(list_dot_product(y, y))) FROM
+ (SELECT held, step, c, list_transform(c, lambda r: list_dot_product(r, v)) AS y FROM {name}_steps WHERE step < 250)),
+{name} AS (SELECT held, c, v, sqrt(list_dot_product(list_transform(c, lambda r: list_dot_product(r, v)), list_transform(c, lambda r: list_dot_product(r, v)))) AS size
+ FROM {name}_steps WHERE step = 250)"""
+
+    return f"""spread AS (SELECT held, [{means}] AS mu, {cov} FROM m JOIN held ON m.fold IS DISTINCT FROM held GROUP BY held),
+whole AS (SELECT held, mu, {_symmetric(lambda i, j: f"c_{i}_{j}")} AS c FROM spread),
+{power("axis1", "whole")},
+rest AS (SELECT held, list_transform(c, lambda r, i: list_transform(r, lambda e, j: e - size * v[i] * v[j])) AS c FROM axis1),
+{power("axis2", "rest")},
+axes AS (SELECT w.held, mu, a.v AS v1, b.v AS v2 FROM whole w JOIN axis1 a ON a.held = w.held JOIN axis2 b ON b.held = w.held),
+long AS (SELECT held, label, unnest(range(1, {_P + 1})) AS i, unnest({_X}) AS x FROM m JOIN held ON m.fold IS DISTINCT FROM held),
+by_class AS (SELECT held, i, label, count(*) AS n, avg(x) AS mean, var_pop(x) * count(*) AS ss FROM long GROUP BY held, i, label),
+scores AS (SELECT held, i, (sum(n * (mean - centre) ** 2) / (count(*) - 1)) / (sum(ss) / (sum(n) - count(*))) AS f FROM by_class
+ JOIN (SELECT held, i, sum(n * mean) / sum(n) AS centre FROM by_class GROUP BY held, i) USING (held, i) GROUP BY held, i),
+chosen AS (SELECT held, i FROM scores QUALIFY row_number() OVER (PARTITION BY held ORDER BY f DESC, i) <= 6),
+learned AS (SELECT application_id, held, label, {_X} AS x FROM m JOIN held ON m.fold IS DISTINCT FROM held),
+inputs AS (SELECT 'train' AS kind, * FROM learned UNION ALL SELECT 'asked', application_id, held, label, {_X} FROM asked),
+placed AS (SELECT kind, application_id, held, label, x, list_dot_product(x, v1) - list_dot_product(mu, v1) AS z1, list_dot_product(x, v2) - list_dot_product(mu, v2) AS z2
+ FROM inputs JOIN axes USING (held)),
+cell AS MATERIALIZED (SELECT kind, application_id, held, label, -1 AS i, z1 AS value FROM placed UNION ALL SELECT kind, application_id, held, label, -2, z2 FROM placed
+ UNION ALL SELECT kind, application_id, p.held, label, c.i, x[c.i] FROM placed p JOIN chosen c ON c.held = p.held),
+extra AS (SELECT held, 1e-9 * max(v) AS e FROM (SELECT held, var_pop(value) AS v FROM cell WHERE kind = 'train' GROUP BY held, i) GROUP BY held),
+prior AS (SELECT held, label, count(*) / sum(count(*)) OVER (PARTITION BY held) AS prior FROM learned GROUP BY held, label),
+par AS (SELECT c.held, c.label, i, any_value(prior) AS prior, avg(value) AS mean, var_pop(value) + any_value(e) AS variance
+ FROM cell c JOIN prior p ON p.held = c.held AND p.label = c.label JOIN extra x ON x.held = c.held WHERE kind = 'train' GROUP BY c.held, c.label, i),
+ll AS (SELECT application_id, c.held, c.label AS truth, p.label, any_value(ln(prior)) + sum(-0.5 * ln(2 * pi() * variance) - (value - mean) ** 2 / (2 * variance)) AS s
+ FROM cell c JOIN par p ON p.held = c.held AND p.i = c.i WHERE kind = 'asked' GROUP BY application_id, c.held, c.label, p.label),
+union_s AS (SELECT application_id, held, truth AS label, max(s) FILTER (WHERE label = 0) AS s0, max(s) FILTER (WHERE label = 1) AS s1
+ FROM ll GROUP BY application_id, held, truth)"""
+
+
+STUMP_FEATURES = [f for f in FEATURES if f != "credit_amount"]
+
+
+def stump() -> str:
+    """The best single split by Gini impurity over thresholds midway between values; test rows with their side's share of 1."""
+    long = " UNION ALL ".join(
+        f"""SELECT application_id, label, split, {i} AS i, CAST("{f}" AS DOUBLE) AS x FROM a""" for i, f in enumerate(STUMP_FEATURES)
+    )
+    return f"""WITH a AS MATERIALIZED ({MODEL}), l AS MATERIALIZED ({long}),
+v AS (SELECT i, x, count(*) AS n, sum(label) AS pos FROM l WHERE split = 'train' GROUP BY i, x),
+c AS (SELECT i, (x + lead(x) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(pos) OVER w AS lp, sum(n) OVER (PARTITION BY i) AS tn,
+      sum(pos) OVER (PARTITION BY i) AS tp FROM v WINDOW w AS (PARTITION BY i ORDER BY x)),
+b AS (SELECT *, lp / ln AS left_share, (tp - lp) / (tn - ln) AS right_share FROM c WHERE cut IS NOT NULL
+      ORDER BY round(lp * (1 - lp / ln) + (tp - lp) * (1 - (tp - lp) / (tn - ln)), 6), i, cut LIMIT 1),
+s AS (SELECT application_id, label, CASE WHEN x <= cut THEN left_share ELSE right_share END AS share FROM l JOIN b USING (i) WHERE split = 'test')
+"""
+
+
 _LR_MARGIN = " + ".join(["w[1]"] + [f'w[{i + 2}] * "{f}"' for i, f in enumerate(FEATURES)])
 
+_TENFOLD = f"""m AS MATERIALIZED (SELECT *, ntile(10) OVER (ORDER BY application_id) - 1 AS fold FROM ({MODEL}) WHERE split = 'train'),
+held AS (SELECT DISTINCT fold AS held FROM m)"""
 TEXTS = ("sex", "housing", "saving_accounts", "checking_account", "purpose", "risk")
 CUSTOMER_LEVELS = """SELECT DISTINCT 'c_name' AS "column", c_name AS level FROM customer
  UNION ALL SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM customer"""
@@ -423,6 +513,28 @@ ORACLE: dict[str, str] = {
  round(1 / (1 + exp(-{_LDA_MARGIN})), 6) AS probability FROM m, par WHERE split = 'test'""",
     "lda2_cv_recall": LDA_CV
     + "SELECT 'LDA' AS model, CAST(fold AS INT) AS fold, 'recall' AS metric, round(value, 6) AS value FROM lda_fold",
+    "lda_scored": f"""WITH a AS MATERIALIZED ({MODEL}), m AS MATERIALIZED (SELECT *, 0 AS fold FROM a WHERE split = 'train'),
+held AS (SELECT -1 AS held), {discriminant()}
+SELECT application_id, label, CASE WHEN s > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(1 / (1 + exp(-s)), 6) AS probability
+FROM (SELECT application_id, label, list_dot_product({_X}, w) + k AS s FROM a, lda WHERE split = 'test')""",
+    "lda_cv_recall": f"""WITH {_TENFOLD}, {discriminant()}
+SELECT 'LDA' AS model, CAST(fold AS INT) AS fold, 'recall' AS metric, round(avg(CASE WHEN list_dot_product({_X}, w) + k > 0 THEN 1 ELSE 0 END), 6) AS value
+FROM m JOIN lda ON fold = held WHERE label = 1 GROUP BY fold""",
+    "union_scored": f"""WITH RECURSIVE a AS MATERIALIZED ({MODEL}), m AS MATERIALIZED (SELECT *, 0 AS fold FROM a WHERE split = 'train'),
+held AS (SELECT -1 AS held), asked AS (SELECT *, -1 AS held FROM a WHERE split = 'test'), {union_bayes()}
+SELECT application_id, label, CASE WHEN s1 > s0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(1 / (1 + exp(s0 - s1)), 6) AS probability FROM union_s""",
+    "union_cv_accuracy": f"""WITH RECURSIVE {_TENFOLD}, asked AS (SELECT *, fold AS held FROM m), {union_bayes()}
+SELECT 'UNION' AS model, CAST(held AS INT) AS fold, 'accuracy' AS metric, round(avg(CASE WHEN (s1 > s0)::INT = label THEN 1 ELSE 0 END), 6) AS value FROM union_s GROUP BY held""",
+    "model_ranking_closed": f"""WITH RECURSIVE {_TENFOLD}, {discriminant()}, {newton()},
+ r AS (SELECT 'LDA' AS model, fold, avg(CASE WHEN list_dot_product({_X}, w) + k > 0 THEN 1 ELSE 0 END) AS value FROM m JOIN lda ON fold = held WHERE label = 1 GROUP BY fold
+       UNION ALL SELECT 'LR', fold, avg(CASE WHEN {_LR_MARGIN} > 0 THEN 1 ELSE 0 END) FROM m JOIN fitted ON fold = held WHERE label = 1 GROUP BY fold
+       UNION ALL SELECT 'NB', fold, value FROM ({gnb_crossed(10, "ORDER BY application_id", _ONE_EPS)} SELECT fold, value FROM per_fold))
+ SELECT model, round(avg(value), 6) AS mean_score, round(stddev_pop(value), 6) AS std_score FROM r GROUP BY model""",
+    "tree_stump": stump() + "SELECT application_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(share, 6) AS probability FROM s",
+    "forest_stump": stump() + "SELECT application_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(share, 6) AS probability FROM s",
+    "boosted_stump": stump()
+    + """SELECT application_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+ round(1 / (1 + exp(-2 * (2 * share - 1))), 6) AS probability FROM s""",
     "lr_scored": f"""WITH RECURSIVE a AS MATERIALIZED ({MODEL}), m AS MATERIALIZED (SELECT *, 0 AS fold FROM a WHERE split = 'train'),
 held AS (SELECT -1 AS held), {newton()}
 SELECT application_id, label, CASE WHEN s > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(1 / (1 + exp(-s)), 6) AS probability
