@@ -49,14 +49,27 @@ def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in like.columns])
 
 
-def map_batches(df: DataFrame, start: Callable[[], Callable[[list], dict]], added: str, over: str = "text") -> DataFrame:
-    """Add columns computed from column ``over``, which is replaced by them.
+SLICE_BYTES = 4 << 20  # of a column's values that are Python objects at a time
 
-    ``start`` is called once per task and gives a function from a batch's values to new
-    columns by name. The other columns pass as Arrow arrays, so null and large ids stay
-    as they are. ``added`` is the new columns' schema.
+
+def slices(batch: pa.RecordBatch, over: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``SLICE_BYTES`` in column ``over``, one row at least."""
+    size = max(batch.column(over).nbytes, 1)
+    rows = max(1, batch.num_rows * SLICE_BYTES // size)
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def map_batches(
+    df: DataFrame, start: Callable[[], Callable[[list], dict]], added: str, over: str = "text", keep: bool = False
+) -> DataFrame:
+    """Add columns computed from column ``over``, which is replaced by them unless ``keep``.
+
+    ``start`` is called once per task and gives a function from values to new columns by
+    name. The other columns pass as Arrow arrays, so null and large ids stay as they are.
+    ``added`` is the new columns' schema.
     """
-    kept = [c for c in df.columns if c != over]
+    kept = [c for c in df.columns if keep or c != over]
     schema = df.select(*[F.col(f"`{c}`") for c in kept]).schema
     fields = df.sparkSession.createDataFrame([], added).schema.fields
     for field in fields:
@@ -68,9 +81,10 @@ def map_batches(df: DataFrame, start: Callable[[], Callable[[list], dict]], adde
 
         types = [to_arrow_type(f.dataType) for f in fields]
         fn = start()
-        for batch in batches:
-            made = fn(batch.column(over).to_pylist())
-            arrays = [batch.column(c) for c in kept] + [pa.array(made[n], t) for n, t in zip(names, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
+        for whole in batches:
+            for batch in slices(whole, over):
+                made = fn(batch.column(over).to_pylist())
+                arrays = [batch.column(c) for c in kept] + [pa.array(made[n], t) for n, t in zip(names, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
 
     return df.mapInArrow(run, schema)

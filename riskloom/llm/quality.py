@@ -199,16 +199,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
 
 
 def score(docs: DataFrame, params: bytes, keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``text`` replaced by ``_rl_score``, or beside it: whole texts, a batch at a time."""
+    """``docs`` with ``text`` replaced by ``_rl_score``, or beside it: whole texts, a few at a time."""
 
     def start():
         net = Network.load(params)
         return lambda texts: {"_rl_score": [net.probability(t or "") for t in texts]}
 
-    scored = "_rl_text" if keep_text else "text"
-    if keep_text:
-        docs = docs.withColumn(scored, F.col("text"))
-    return map_batches(docs, start, "_rl_score double", over=scored)
+    return map_batches(docs, start, "_rl_score double", keep=keep_text)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
