@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import text_or_empty
@@ -162,30 +162,24 @@ def candidates(index: DataFrame, queries: dict) -> DataFrame:
     return present.select("content", kinds.alias("kinds")).filter(F.size("kinds") > 0)
 
 
-def spans_of(rule: Rule, text: Column) -> Column:
-    """Leftmost non-overlapping matches as structs of start and end in code points.
+PART = "array<struct<rank: int, kind: string, least: int, at: int, gap: int, own: int, kept: int>>"
 
-    The pieces between matches and the matches themselves alternate, so their lengths
-    added up give each place.
+
+def parts_of(rule: Rule, rank: int, text: Column) -> Column:
+    """The lengths of a rule's matches in order, and of what precedes and what counts of each.
+
+    Pieces between leftmost non-overlapping matches and the matches themselves alternate,
+    so their lengths added up give each place. Each list is made once and zipped.
     """
     pieces, whole = F.split(text, rule.regex, -1), F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
     kept = whole if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group))
-    lengths = F.transform(
-        whole,
-        lambda m, i: F.struct(
-            F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("own"), F.length(F.get(kept, i)).alias("kept")
-        ),
+    return F.transform(
+        F.arrays_zip(pieces, whole, kept),
+        lambda z, i: F.struct(
+            F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), F.lit(rule.least).alias("least"), i.alias("at"),
+            F.length(z["0"]).alias("gap"), F.length(z["1"]).alias("own"), F.length(z["2"]).alias("kept"),
+        ),
     )
-    empty = F.expr("named_struct('at', 0, 'out', cast(array() AS array<struct<start: int, end: int>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + x["own"]
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["kept"] >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-    # Chunks keep the list that grows short; only spans that pass are kept.
-    return F.aggregate(lengths, empty, step, lambda acc: acc["out"])
 
 
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -211,20 +205,22 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def located(kinds: list[Rule], frame: DataFrame, admitted: Column | None) -> DataFrame:
         lists = []
         for r in kinds:
-            named = (F.lit(order[r.kind]).alias("rank"), F.lit(r.kind).alias("kind"))
-            own = F.transform(spans_of(r, F.col("text")), lambda s: F.struct(s["start"].alias("start"), *named, s["end"].alias("end")))  # noqa: B023
-            empty = F.expr("cast(array() AS array<struct<start: int, rank: int, kind: string, end: int>>)")
             test = F.col("text").rlike(r.regex)
-            lists.append(F.when(test if admitted is None else F.array_contains(admitted, r.kind) & test, own).otherwise(empty))
-        return frame.select("content", F.concat(*lists).alias("found")).filter(F.size("found") > 0)
+            own = parts_of(r, order[r.kind], F.col("text"))
+            lists.append(F.when(test if admitted is None else F.array_contains(admitted, r.kind) & test, own).otherwise(F.array().cast(PART)))
+        return frame.select("content", F.inline(F.concat(*lists)))
 
     by_index = located([r for r in rules if r.kind in indexed], texts.join(found, "content"), F.col("kinds"))
     full = located([r for r in rules if r.kind not in indexed], texts, None)
+    # Copies of a text have the same parts; the piece behind the last match has no match.
+    parts = by_index.unionAll(full).filter(F.col("own").isNotNull()).dropDuplicates(["content", "rank", "at"])
+    upto = F.sum(F.col("gap") + F.col("own")).over(Window.partitionBy("content", "rank").orderBy("at"))
+    spot = F.struct((F.col("end") - F.col("own")).cast("int").alias("start"), "rank", "kind", F.col("end").cast("int").alias("end"))
     merged = (
-        by_index.unionAll(full)
-        .select("content", F.explode("found").alias("span"))
+        parts.repartition("content").withColumn("end", upto)
+        .filter(F.col("kept") >= F.col("least"))
         .groupBy("content")
-        .agg(F.array_sort(F.collect_set("span")).alias("found"))
+        .agg(F.array_sort(F.collect_list(spot)).alias("found"))
     )
     result = pin(merged, "secret-spans")
     listed = lambda spans: F.array_join(
