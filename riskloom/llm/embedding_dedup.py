@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,13 @@ RECALL = 0.998  # of pairs at the threshold, by the hash tables
 CONFIDENCE = 4.0  # standard errors that an estimate may be off before it decides alone
 OCCUPANCY = 64  # vectors of a label per bucket, about
 BLOCK = 1_000  # vectors of a bucket that meet in one task
+TURNED = 512  # vectors that are rotated in one product
 SHORT = 8  # dimensions below which codes say too little
 
 
+@lru_cache(maxsize=64)
 def rotation(dim: int, number: int) -> np.ndarray:
-    """A random orthogonal matrix that depends on its dimension and number alone."""
+    """A random orthogonal matrix that depends on its dimension and number alone; made once per task."""
     q, r = np.linalg.qr(np.random.default_rng([11, dim, number]).normal(size=(dim, dim)))
     return q * np.sign(np.diag(r))
 
@@ -47,22 +50,28 @@ def codes(vectors: DataFrame, bits: int, tables: int) -> DataFrame:
     wide = "double" in vectors.schema["embedding"].dataType.simpleString()
 
     def start():
-        held: dict[int, list[np.ndarray]] = {}
+        def of_one_size(v: np.ndarray) -> tuple:
+            """Code, factor and keys of vectors (a row each) of the same dimension."""
+            dim = v.shape[1]
+            v = v / np.abs(v).max(axis=1, keepdims=True)
+            unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+            turned = unit @ rotation(dim, 0).T
+            # Keys come from other rotations, so they say nothing about the code's error.
+            others = [unit @ rotation(dim, 1 + i).T >= 0 for i in range(-(-tables * bits // dim))]
+            own = np.concatenate(others, axis=1)[:, : tables * bits].reshape(len(v), tables, bits)
+            code = [row.tobytes() for row in np.packbits(turned >= 0, axis=1)]
+            return code, np.abs(turned).sum(axis=1) / math.sqrt(dim), own @ (1 << np.arange(bits))
 
         def encode(rows: list) -> dict:
-            out = {"raw": [], "code": [], "factor": [], "keys": []}
-            for row in rows:
-                v = np.asarray(row, np.float64)
-                turns = held.setdefault(len(v), [rotation(len(v), i) for i in range(1 + -(-tables * bits // len(v)))])
-                v_unit = v / np.linalg.norm(v / np.abs(v).max()) / np.abs(v).max()
-                turned = [t @ v_unit for t in turns]
-                signs = turned[0] >= 0
-                # Keys come from other rotations, so they say nothing about the code's error.
-                own = np.concatenate([t >= 0 for t in turned[1:]])[: tables * bits].reshape(tables, bits)
-                out["raw"].append(v.astype(np.float64 if wide else np.float32).tobytes())
-                out["code"].append(np.packbits(signs).tobytes())
-                out["factor"].append(float(np.abs(turned[0]).sum() / math.sqrt(len(v))))
-                out["keys"].append((own @ (1 << np.arange(bits))).tolist())
+            vectors = [np.asarray(row, np.float64) for row in rows]
+            out = {"raw": [v.astype(np.float64 if wide else np.float32).tobytes() for v in vectors]}
+            out |= {name: [None] * len(rows) for name in ("code", "factor", "keys")}
+            for dim in {len(v) for v in vectors}:
+                at = [i for i, v in enumerate(vectors) if len(v) == dim]
+                for first in range(0, len(at), TURNED):
+                    here = at[first : first + TURNED]
+                    for i, code, factor, keys in zip(here, *of_one_size(np.stack([vectors[i] for i in here])), strict=True):
+                        out["code"][i], out["factor"][i], out["keys"][i] = code, float(factor), keys.tolist()
             return out
 
         return encode
