@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from riskloom.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, licenses, line_dedup, merkle, minhash, mixing, multiset_hash, quality, secret_scan, token_counts
-from riskloom.session import run_path
 from riskloom.sources.applications import table
 
 LLM_QUERIES: dict = {}
@@ -20,7 +19,7 @@ def op1_token_counts(spark, sf_dir):
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, run_path(spark, "token-cache"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, token_counts.cache_path(spark, path))
 
 
 @query

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import map_batches, text_or_empty
+from riskloom.session import shared_dir
 
 SEGMENT_MEMO = 400_000  # words a task remembers at once; forgetting costs time, not counts
 LIMIT = 2048
@@ -85,6 +87,11 @@ def content_digest(text: str = "text"):
     return F.sha2(text_or_empty(text), 256)
 
 
+def cache_path(spark: SparkSession, path: str) -> str:
+    """Where the counts of a tokenizer version are kept, below the shared folder, from run to run."""
+    return os.path.join(shared_dir(spark), f"token-cache-{tokenizer_digest(path)[:16]}")
+
+
 def encode_misses(misses: DataFrame, path: str, version: str) -> DataFrame:
     """(content, tokenizer, n_tokens) for rows of (content, text)."""
 
