@@ -28,7 +28,7 @@ class Paths:
     source: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("raw", "profile", "quarantine", "valid", "curated", "results", "summary", "lineage", "levels", "model"):
+        if name in ("raw", "profile", "quarantine", "valid", "curated", "results", "summary", "lineage", "levels", "model", "seen"):
             return f"{self.root}/{name}"
         raise AttributeError(name)
 

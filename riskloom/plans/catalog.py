@@ -21,7 +21,8 @@ from riskloom.plans import batch, train
 from riskloom.session import pin, run_path
 from riskloom.sources import files, warehouse
 from riskloom.sources.applications import applications, table
-from riskloom.sources.promote import promote
+from riskloom.sources.promote import promote, promote_changed
+from riskloom.streaming import daily
 from riskloom.streaming.daily import land_stream, new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -754,6 +755,33 @@ def promoted_copy(spark, sf_dir):
     return spark.read.parquet(copy).agg(F.count("*").alias("n_rows"), F.lit(done.matched).alias("matched"))
 
 
+@query
+def promoted_partitions(spark, sf_dir):
+    """Applicants by purpose, copied twice: the second copy moves the one purpose that changed."""
+    source, copy, manifest = (run_path(spark, n) for n in ("source", "copy", "manifest"))
+    rows = applications(spark, sf_dir)
+    rows.write.partitionBy("purpose").parquet(source)
+    first = promote_changed(spark, source, copy, manifest, "purpose")
+    dearer = rows.filter("purpose = 'ASIA'").withColumn("credit_amount", F.col("credit_amount") + 1)
+    dearer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("purpose").parquet(source)
+    second = promote_changed(spark, source, copy, manifest, "purpose")
+    copies = [(value, first.written.count(value) + second.written.count(value)) for value in first.written]
+    told = spark.createDataFrame(copies, "purpose string, n_copies int")
+    found = spark.read.parquet(copy).groupBy("purpose").agg(F.count("*").alias("n_rows"), F.round(F.sum("credit_amount"), 2).alias("credit_amount"))
+    return found.join(told, "purpose")
+
+
+@query
+def interleaved_scan(spark, sf_dir):
+    """Orders of few customers at middling prices, read from a table laid out along both columns."""
+    path = run_path(spark, "interleaved")
+    governance.publish_interleaved(table(spark, sf_dir, "orders"), path, ["o_custkey", "o_totalprice"], ["o_orderkey"])
+    low, high = spark.read.parquet(path).agg(F.min("o_custkey"), F.max("o_custkey")).first()
+    near = F.col("o_custkey").between(low, low + (high - low) / 20)
+    found = spark.read.parquet(path).filter(near & F.col("o_totalprice").between(100_000, 150_000))
+    return found.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query
 def warehouse_load(spark, sf_dir):
     schema = f"credit_{uuid.uuid4().hex[:12]}"
@@ -831,6 +859,21 @@ def batch_published(spark, sf_dir):
     return bad.unionAll(done).select(F.col(ROW_ID).cast("bigint").alias(ROW_ID), "outcome")
 
 
+@query
+def stream_published(spark, sf_dir):
+    """What streamed micro-batches make of faulty files, a third of whose rows come a second time."""
+    paths = batch.Paths(run_path(spark, "lake"), raw_files(spark, sf_dir))
+    again = files.read_csv_text(spark, paths.source)
+    row_id = F.col(again.columns[0]).cast("long")
+    again.filter(row_id % 3 == 0).coalesce(1).write.mode("append").option("header", True).csv(paths.source)
+    daily.classify_new_files(spark, paths, run_path(spark, "progress"), datetime(2023, 5, 12), per_batch=2)
+    bad = spark.read.parquet(paths.quarantine).select(ROW_ID, F.concat(F.lit("quarantined "), "violations").alias("outcome"))
+    done = spark.read.parquet(paths.results).select(
+        ROW_ID, F.coalesce(F.concat(F.lit("unscored "), "unscored"), F.when(F.col("prediction").isNotNull(), "scored")).alias("outcome")
+    )
+    return bad.unionAll(done).select(F.col(ROW_ID).cast("bigint").alias(ROW_ID), "outcome")
+
+
 @query
 def dated_landing(spark, sf_dir):
     """Applicants from files with a day in their names, one partition per day."""

@@ -687,6 +687,10 @@ FROM m JOIN fitted ON fold = held WHERE label = 1 GROUP BY fold""",
         WHEN no_amount THEN 'unscored credit_amount' ELSE 'scored' END AS outcome FROM d""",
     "dated_landing": f"""SELECT application_id, purpose, credit_amount,
       CASE WHEN application_id % 2 = 0 THEN 20230512 ELSE 20230513 END AS batch_nr FROM ({APPS})""",
+    "promoted_partitions": f"""SELECT purpose, count(*) AS n_rows, round(sum(credit_amount + CASE WHEN purpose = 'ASIA' THEN 1 ELSE 0 END), 2) AS credit_amount,
+ CASE WHEN purpose = 'ASIA' THEN 2 ELSE 1 END AS n_copies FROM ({APPS}) GROUP BY purpose""",
+    "interleaved_scan": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders, (SELECT min(o_custkey) AS low, max(o_custkey) AS high FROM orders)
+ WHERE o_custkey BETWEEN low AND low + (high - low) / 20.0 AND o_totalprice BETWEEN 100000 AND 150000""",
     "profile_by_batches": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(DISTINCT year(o_orderdate)) AS n_batches, count(*) AS n_rows, count(*) - count({c}) AS n_null,
  {f'round(avg({c}::DOUBLE), 4)' if numeric else 'NULL::DOUBLE'} AS mean, {f'min({c})::DOUBLE' if numeric else 'NULL::DOUBLE'} AS min,
@@ -701,3 +705,5 @@ FROM m JOIN fitted ON fold = held WHERE label = 1 GROUP BY fold""",
     "classified_by_bayes": GNB
     + f"SELECT a.*, s.prediction FROM ({APPS}) a JOIN scored s USING (application_id)",
 }
+# Rows that a stream takes up come out as those of one batch, however they arrive.
+ORACLE["stream_published"] = ORACLE["batch_published"]
