@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.session import pin
 
 MAX_ROUNDS = 60
+ROWS_PER_FILE = 1_000_000  # links of a round; many small files cost more than they hold
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = pin(
         links.filter("a != b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct(), "links"
     )
-    before = None
+    before, n = None, edges.count()
     for _ in range(MAX_ROUNDS):
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least(both).withColumn("least", F.least("a", "least"))
@@ -41,12 +42,12 @@ def connected_components(links: DataFrame) -> DataFrame:
             .filter("a != b")
             .distinct()
         )
-        edges = pin(small, "links")
+        edges = pin(small.coalesce(-(-n // ROWS_PER_FILE) or 1), "links")
         # Stars only: no node is both a leaf and a root, and nothing has moved.
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(state) == before:
             break
-        before = tuple(state)
+        before, n = tuple(state), state[0]
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
