@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import spread_hash, word_count, text_or_empty
+from riskloom.llm.common import row_key, spread_hash, text_or_empty, word_count
 from riskloom.session import pin
 
 WEIGHTS = (3, 1, 2)
@@ -52,6 +52,33 @@ def source_targets(
     return filled.select("source", "source_size", target.alias("target"))
 
 
+def inclusions(sizes: DataFrame, cap: int = CAP) -> DataFrame:
+    """(source, class, copies, odds part, need) from rows with source, class, size, _whole.
+
+    Documents of a source are taken the more often the longer they are: a document whose
+    size has g binary digits is wanted min(``cap``, t * g) times, with t such that the
+    wanted words add up to the source's ``_whole``. The whole part of that number are
+    copies for certain, the rest is the inclusion probability ``p`` of one more; ``_need``
+    are the words that these leave to be sampled. A source has at most 63 classes.
+    """
+    words = sizes.groupBy("source", "class").agg(F.sum("size").alias("words"), F.first("_whole").alias("_whole"))
+    digits = F.col("class") + 1
+    longest = W.partitionBy("source").orderBy(F.desc("class"))
+    filled = (
+        words.withColumn("_rest", F.col("_whole") - F.lit(cap) * F.coalesce(F.sum("words").over(longest.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("_below", F.sum(digits * F.col("words")).over(longest.rowsBetween(W.currentRow, W.unboundedFollowing)))
+        # Full if its share of what is left would exceed what it can hold.
+        .withColumn("_full", digits * F.col("_rest") >= F.lit(cap) * F.col("_below"))
+        .withColumn("_stop", F.max(F.when(~F.col("_full"), F.struct("class", "_rest", "_below"))).over(W.partitionBy("source")))
+        .withColumn("_num", F.when(F.col("_full"), F.lit(cap)).otherwise(digits * F.col("_stop._rest")))
+        .withColumn("_den", F.when(F.col("_full"), F.lit(1)).otherwise(F.col("_stop._below")))
+        .withColumn("_copies", F.expr("_num div _den"))
+        .withColumn("_p", (F.col("_num") - F.col("_copies") * F.col("_den")) / F.col("_den"))
+    )
+    need = F.col("_whole") - F.sum(F.col("_copies") * F.col("words")).over(W.partitionBy("source"))
+    return filled.select(F.col("source").alias("_source"), F.col("class").alias("_class"), "_copies", "_p", need.alias("_need"))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -62,38 +89,37 @@ def mix(
 ) -> DataFrame:
     """How many words the mix takes of each document: doc_id, size, source_size, target, taken.
 
-    A target of c whole sizes and a rest gives every document of the source c certain
-    copies. For the rest, documents are ranked by random odds over inclusion odds,
-    (u / (1 - u)) / (p / (1 - p)), and taken in that order until the rest is filled; the
-    sample's size is fixed in words, so the document at the edge gives only its first
-    words and each source meets its target to the word. u is a hash of seed and doc_id:
-    reruns agree whatever the partitioning.
+    Each document has inclusion odds of its own, which grow with its size (``inclusions``);
+    whole copies are taken first. For the rest, documents are ranked by random odds over
+    inclusion odds, (u / (1 - u)) / (p / (1 - p)), and taken in that order until the rest is
+    filled; the sample's size is fixed in words, so the document at the edge gives only its
+    first words and each source meets its target to the word. u is a hash of seed, doc_id
+    and text: reruns agree whatever the partitioning.
 
     The edge is found without sorting a source: words are summed per (source, bucket of the
     rank), a running sum over at most ``buckets`` rows per source finds the bucket at the
     edge, and only its rows are ordered. A source with a third of all rows is a partial sum
-    on every task.
+    on every task, and rows without ids fall into buckets by their texts.
 
     Null texts have size 0 and give 0 words; a source without words has target 0; repeated
-    rows are rows of their own that share their random number (ties go to the shorter one);
-    null ids share one; an empty table gives an empty one; further columns are ignored.
+    rows are rows of their own that share their random number; an empty table gives an
+    empty one; further columns are ignored.
     """
-    narrow = pin(
-        docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), spread_hash("doc_id", seed).alias("u")),
-        "mix-sizes",
-    )
-    plan = pin(
-        source_targets(narrow, weights, share, cap)
-        .withColumn("_whole", F.floor(F.col("target") + 0.5))
-        .withColumn("_copies", F.when(F.col("source_size") > 0, F.floor(F.col("_whole") / F.col("source_size"))).otherwise(0))
-        .withColumn("_need", F.col("_whole") - F.col("_copies") * F.col("source_size")),
-        "mix-plan",
+    size = word_count(text_or_empty())
+    narrow = docs.select("doc_id", "source", size.alias("size"), spread_hash(row_key(), seed).alias("u"))
+    digits = F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0)
+    narrow = pin(narrow.withColumn("class", (digits - 1).cast("int")), "mix-sizes")
+    targets = pin(
+        source_targets(narrow, weights, share, cap).withColumnRenamed("source", "_tsource").withColumn("_whole", F.floor(F.col("target") + 0.5)),
+        "mix-targets",
     )
-    p = F.col("_need") / F.col("source_size")
+    aimed = narrow.join(targets, F.col("source").eqNullSafe(F.col("_tsource"))).drop("_tsource")
+    plan = pin(inclusions(aimed.select("source", "class", "size", "_whole"), cap), "mix-plan")
+    p = F.col("_p")
     rank = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
     ranked = (
-        narrow.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_rank", F.when((F.col("_need") > 0) & (F.col("size") > 0), rank))
+        aimed.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class")))
+        .withColumn("_rank", F.when((F.col("_need") > 0) & (F.col("size") > 0) & (p > 0), rank))
         .withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * buckets))
     )
     upto = W.partitionBy("_bsource").orderBy("_bbucket").rowsBetween(W.unboundedPreceding, -1)
@@ -113,7 +139,7 @@ def mix(
         F.col("_rank").isNotNull() & (F.col("_bbucket").isNull() | (F.col("_bucket") < F.col("_bbucket"))), F.col("size")
     ).otherwise(0)
     at_edge = F.coalesce(F.col("_bucket") == F.col("_bbucket"), F.lit(False))
-    inside = W.partitionBy("source").orderBy("_rank", F.col("doc_id"), "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source").orderBy("_rank", "u", F.col("doc_id"), "size").rowsBetween(W.unboundedPreceding, -1)
     earlier = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_need") - earlier))
     taken = lambda extra: (certain + extra).cast("long").alias("taken")
@@ -125,7 +151,7 @@ def mix(
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '~')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+         (('0x' || substr(md5('mix|' || md5(coalesce(doc_id::VARCHAR, '~') || '|' || coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM {docs}
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -144,19 +170,27 @@ WITH d AS (
   SELECT source, source_size,
          CASE WHEN is_full THEN (2 * source_size)::DOUBLE ELSE (w * (SELECT max(rest) FROM f WHERE NOT is_full AND lft = stop.lft))::DOUBLE / (2 * stop.lft)::DOUBLE END AS target
   FROM f, stop
-), p AS (
-  SELECT *, floor(target + 0.5)::BIGINT AS whole,
-         CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS copies FROM t
+), a AS (
+  SELECT d.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS whole, CASE WHEN size > 0 THEN len(bin(size)) ELSE 0 END AS g
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), c AS (
+  SELECT source, g, sum(size)::BIGINT AS words, any_value(whole) AS whole FROM a GROUP BY source, g
+), e AS (
+  SELECT *, whole - 2 * coalesce(sum(words) OVER (PARTITION BY source ORDER BY g DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(g * words) OVER (PARTITION BY source ORDER BY g DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS below FROM c
+), h AS (
+  SELECT *, g * rest >= 2 * below AS is_full FROM e
+), i AS (
+  SELECT h.*, CASE WHEN h.is_full THEN 2 ELSE h.g * o.rest END::BIGINT AS num, CASE WHEN h.is_full THEN 1 ELSE o.below END::BIGINT AS den
+  FROM h LEFT JOIN (SELECT source, arg_max(rest, g) AS rest, arg_max(below, g) AS below FROM h WHERE NOT is_full GROUP BY source) o ON o.source IS NOT DISTINCT FROM h.source
+), j AS (
+  SELECT source, g, num // den AS copies, (num - (num // den) * den)::DOUBLE / den AS p, whole - sum((num // den) * words) OVER (PARTITION BY source) AS need FROM i
 ), k AS (
-  SELECT d.doc_id, d.size, p.source_size, p.target, p.copies, p.whole - p.copies * p.source_size AS need, d.source,
-         (d.u / (1 - d.u)) AS odds
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+  SELECT a.*, copies, p, need, (u / (1 - u)) / (p / (1 - p)) AS rank FROM a JOIN j ON a.source IS NOT DISTINCT FROM j.source AND a.g = j.g
 ), q AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds / ((need::DOUBLE / source_size) / (1 - need::DOUBLE / source_size)), doc_id, size
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  SELECT *, CASE WHEN p > 0 AND size > 0 AND need > 0 THEN greatest(0, least(size, need - coalesce(sum(size) OVER (PARTITION BY source, p > 0 AND size > 0
+         ORDER BY rank, u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) ELSE 0 END AS extra
   FROM k
 )
-SELECT doc_id, size, source_size, target,
-       (copies * size + greatest(0, least(size, need - before)))::BIGINT AS taken
-FROM q
+SELECT doc_id, size, source_size, target, (copies * size + extra)::BIGINT AS taken FROM q
 """
