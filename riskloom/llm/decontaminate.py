@@ -79,12 +79,16 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 class Items:
-    """A block of benchmark items, ready to be looked for."""
+    """A block of benchmark items, ready to be looked for; items of the same words are one."""
 
     def __init__(self, items: list[tuple]):
-        pairs = [(i, word_hashes(t)) for i, t in items if t]
-        self.ids = [i for i, w in pairs if len(w)]
-        self.words = [w for _, w in pairs if len(w)]
+        alike: dict[bytes, tuple[np.ndarray, list]] = {}
+        for i, text in items:
+            words = word_hashes(text or "")
+            if len(words):
+                alike.setdefault(words.tobytes(), (words, []))[1].append(i)
+        self.words = [words for words, _ in alike.values()]
+        self.ids = [ids for _, ids in alike.values()]
         self.seeds = np.zeros(1 << SEED_BITS, bool)
         for w in self.words:
             self.seeds[shingles(w, SEED) >> U(64 - SEED_BITS)] = True
@@ -192,7 +196,8 @@ class Items:
                 best[d, k] = (distance, lo + end)
         out: list[list[dict]] = [[] for _ in texts]
         for (d, k), (distance, end) in best.items():
-            out[d].append({"item_id": self.ids[k], "item_words": len(self.words[k]), "distance": distance, "end_word": end})
+            for i in self.ids[k]:
+                out[d].append({"item_id": i, "item_words": len(self.words[k]), "distance": distance, "end_word": end})
         return out
 
 
@@ -210,18 +215,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_I
 
     The benchmark is a stated set of queries: ``block_items`` items at a time go to all
     tasks and a pass over the documents looks for them, so no side is shuffled and a task
-    holds one block. Null or empty items are never found; repeated items are found under
-    each id; null or empty texts hold nothing; repeated rows are reported each; empty
-    tables give no rows.
+    holds one block. Null or empty items are never found; items of the same words are looked
+    for once and found under each id; null or empty texts hold nothing; repeated rows are
+    reported each; empty tables give no rows; columns of ``docs`` that are named as the
+    result's are left out.
     """
     items = benchmark.select("item_id", F.col("text").alias("item_text")).filter(F.col("item_text").isNotNull())
     blocks = max(1, -(-items.count() // block_items))
     kind = benchmark.schema["item_id"].dataType.simpleString()
     added = f"leaks array<struct<item_id: {kind}, item_words: int, distance: int, end_word: long>>"
-    kept = [c for c in docs.columns if c != "text"]
+    kept = [c for c in docs.columns if c not in ("text", "item_id", "item_words", "distance", "end_word")]
     found = None
     for b in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == b)
+        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_text"), F.lit(blocks)) == b)
         block = [tuple(r) for r in part.collect()]
 
         def start(block=block):
