@@ -33,6 +33,10 @@ HEADLINE = [
     "corr_spearman",
     "cramers_v",
     "lr_scored",
+    "lr_cv_recall",
+    "lda_cv_recall",
+    "profile_by_batches",
+    "sparse_indicators",
     "tree_scored",
     "rf_scored",
     "rff_svm_scored",
