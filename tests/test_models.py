@@ -192,6 +192,13 @@ def test_truncated_forest_is_a_smaller_forest(spark, data):
     assert len(short[0]) == 40
 
 
+def test_cuts_part_values_whose_median_is_the_largest():
+    x = np.array([[float(i % 3 > 0), 0.01 * (i % 8)] for i in range(960)])
+    sizes = np.bincount(neighbors._Cuts.of(x, 3).leaf(x))
+    # Two thirds are ones, so a cut at the median leaves all rows on one side, at every depth.
+    assert sizes.max() <= 240 and sizes.sum() == 960
+
+
 def test_forest_grid_has_every_point(data):
     rows = pin(columns.design(folds.with_stratified_kfold(data.train, k=2), data.features, target="label", keep=("fold",)), "rows")
     grid = {"max_depth": [2, None], "n_estimators": [1, 4], "max_features": [3, 99]}
