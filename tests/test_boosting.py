@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+from pyspark.ml.linalg import Vectors
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -138,3 +139,21 @@ def test_a_sample_keeps_several_partitions(spark):
     got = selection.sampled(df, 20_000)
     assert got.count() == 20_000 and got.rdd.getNumPartitions() > 1
     assert selection.sampled(df.limit(0), 10).count() == 0 and selection.sampled(df, 60_000).count() == 50_000
+
+
+def test_folds_without_positives_count_as_zero(spark):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, (300, 2)).astype(float)
+    rows = [(i, i % 3, float(i % 3 != 2 and x[i, 0] > 1), Vectors.dense(x[i])) for i in range(300)]
+    df = spark.createDataFrame(rows, ["application_id", "fold", "label", "features"])
+    grid = {"max_depth": [2], "min_child_weight": [1], "gamma": [0.0], "subsample": [1.0], "colsample_bytree": [1.0]}
+    found = boosting.boosted_grid(df, df, 2, grid, 3, 5).collect()
+    assert len(found) == 1 and 0 < found[0]["mean_score"] <= 2 / 3
+
+
+def test_positives_travel_packed(spark):
+    rows = spark.createDataFrame([(i, i % 2, bytes([i, 7])) for i in range(40)], "application_id bigint, fold int, bins binary")
+    blocks = boosting.packed(rows, 3).collect()
+    assert len({(r["fold"], r["block"]) for r in blocks}) == len(blocks) <= 6
+    assert sorted(b for r in blocks for b in r["bins"][::2]) == list(range(40))
+    assert all(set(r["bins"][1::2]) == {7} for r in blocks)
