@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import governance
+from riskloom.plans import catalog
 from riskloom.plans.batch import Paths, run_batch
 from riskloom.operators import iterative
 from riskloom.plans.jobs import curate_table, parse
@@ -185,3 +186,11 @@ def test_jobs_from_raw_to_models(spark, sf_dir, tmp_path):
     assert all(0.5 < r["accuracy"] <= 1 for r in scores.values())
     confusion = spark.read.parquet(f"{out}/confusion").groupBy("model").agg(F.sum("n").alias("n")).collect()
     assert {r["n"] for r in confusion} == {379}
+
+
+def test_a_day_lands_from_many_files(spark, sf_dir):
+    rows = applications(spark, sf_dir).repartition(6, "application_id")
+    source = catalog.dated_files(spark, rows)
+    days = [f.rsplit("_", 1)[1] for group in files.file_headers(spark, source).values() for f in group]
+    assert days.count("12052023.csv") > 1 and days.count("13052023.csv") > 1
+    assert files.read_csv(spark, source).count() == rows.count()
