@@ -194,3 +194,15 @@ def test_a_day_lands_from_many_files(spark, sf_dir):
     days = [f.rsplit("_", 1)[1] for group in files.file_headers(spark, source).values() for f in group]
     assert days.count("12052023.csv") > 1 and days.count("13052023.csv") > 1
     assert files.read_csv(spark, source).count() == rows.count()
+
+
+def test_rows_sent_again_come_in_bounded_files(spark, sf_dir, monkeypatch):
+    path = catalog.raw_files(spark, sf_dir)
+    before = [f for group in files.file_headers(spark, path).values() for f in group]
+    rows = files.read_csv_text(spark, path)
+    n, thirds = rows.count(), rows.filter(F.col("application_id").cast("long") % 3 == 0).count()
+    monkeypatch.setattr(catalog, "AGAIN_BYTES", 30_000)
+    catalog.send_again(spark, path)
+    after = [f for group in files.file_headers(spark, path).values() for f in group]
+    assert len(after) > len(before) + 1
+    assert files.read_csv_text(spark, path).count() == n + thirds
