@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import quoted
+from riskloom.sources.files import folder_bytes
 
 
 def fingerprint(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -30,14 +31,20 @@ class Promotion:
     matched: bool
 
 
+FILE_BYTES = 128 << 20  # of the source that one file of a compacted copy takes up, at most
+
+
 def promote(spark: SparkSession, source: str, destination: str, files: int | None = None) -> Promotion:
     """Copy parquet from ``source`` to ``destination`` and compare both sides.
 
-    ``files`` compacts the copy; ``repartition`` rather than ``coalesce`` keeps the
+    ``files`` compacts the copy, into more files where these would take more than
+    ``FILE_BYTES`` of the source each; ``repartition`` rather than ``coalesce`` keeps the
     read side parallel.
     """
     df = spark.read.parquet(source)
-    (df.repartition(files) if files else df).write.mode("overwrite").parquet(destination)
+    if files:
+        df = df.repartition(max(files, -(-folder_bytes(spark, source) // FILE_BYTES)))
+    df.write.mode("overwrite").parquet(destination)
     here, there = (fingerprint(spark.read.parquet(p)).first() for p in (source, destination))
     return Promotion(there["n_rows"], here == there)
 

@@ -196,6 +196,14 @@ def test_a_day_lands_from_many_files(spark, sf_dir):
     assert files.read_csv(spark, source).count() == rows.count()
 
 
+def test_compacted_copies_have_bounded_files(spark, tmp_path, monkeypatch):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    spark.range(50_000).write.parquet(src)
+    monkeypatch.setattr(promote, "FILE_BYTES", 20_000)
+    assert promote.promote(spark, src, dst, files=2).matched
+    assert len(list((tmp_path / "dst").glob("part-*"))) > 2
+
+
 def test_rows_sent_again_come_in_bounded_files(spark, sf_dir, monkeypatch):
     path = catalog.raw_files(spark, sf_dir)
     before = [f for group in files.file_headers(spark, path).values() for f in group]
