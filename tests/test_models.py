@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import closed_form, columns, features, folds, iterative, neighbors, selection
+from riskloom.operators import boosting, closed_form, columns, features, folds, iterative, neighbors, selection
 from riskloom.operators.moments import all_but, class_moments
 from riskloom.plans import train
 from riskloom.plans.catalog import model_data
@@ -192,6 +192,56 @@ def test_truncated_forest_is_a_smaller_forest(spark, data):
     assert len(short[0]) == 40
 
 
+def test_fold_samples_are_the_lowest_hashes_outside_each_fold(spark):
+    df = spark.range(600).select(F.col("id").alias("application_id"), (F.col("id") % 3).cast("int").alias("fold"))
+    for fold, rows in enumerate(selection.fold_samples(df, 3, 50)):
+        want = selection.sampled(df.filter(F.col("fold") != fold), 50)
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, want.collect())) and rows.count() == 50
+
+
+def test_truncated_votes_follow_each_row(spark):
+    """Votes of cut-off trees equal a walk row by row."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (200, 3))
+
+    def tree(depth):
+        nodes = []
+
+        def grow(d):
+            at = len(nodes)
+            nodes.append([-1, 0.0, -1, -1, rng.random()])
+            if d and rng.random() < 0.9:
+                nodes[at][:2] = [int(rng.integers(3)), float(rng.normal())]
+                nodes[at][2] = grow(d - 1)
+                nodes[at][3] = grow(d - 1)
+            return at
+
+        grow(depth)
+        return tuple(np.array(c) for c in zip(*nodes))
+
+    trees, depths, counts = [tree(9) for _ in range(5)], [0, 2, 4, 30], [1, 3, 5]
+
+    def share(t, row, depth):
+        feature, threshold, left, right, shares = t
+        at = 0
+        for _ in range(depth):
+            if feature[at] < 0:
+                break
+            at = left[at] if row[feature[at]] <= threshold[at] else right[at]
+        return shares[at]
+
+    want = [[[sum(share(t, row, d) for t in trees[:n]) / n > 0.5 for n in counts] for d in depths] for row in x]
+    assert np.array_equal(selection.truncated_votes(trees, depths, counts, x), np.array(want))
+    # Each cut is tested once for all rows, however many trees have it.
+    feature, threshold = np.array([0, -1, -1]), np.array([0.0, 0.0, 0.0])
+    tested = []
+    boosting.leaf_places(
+        boosting.tree_plan(0, feature.tolist(), threshold.tolist(), [1, -1, -1], [2, -1, -1], []),
+        boosting.remembered(lambda f, t: tested.append((f, t)) or x[:, f] > t), np.dtype(np.int8),
+    )
+    assert tested == [(0, 0.0)]
+
+
 def test_cuts_part_values_whose_median_is_the_largest():
     x = np.array([[float(i % 3 > 0), 0.01 * (i % 8)] for i in range(960)])
     sizes = np.bincount(neighbors._Cuts.of(x, 3).leaf(x))
