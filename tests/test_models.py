@@ -274,3 +274,24 @@ def test_no_training_rows_give_no_neighbours(spark):
     df = spark.createDataFrame([(1, 0.0, 1.0)], "application_id bigint, x double, label double")
     assert neighbors.k_nearest(df.limit(0), df, ["x"]).count() == 0
     assert neighbors.k_nearest(df, df.limit(0), ["x"]).count() == 0
+
+
+def test_far_boxes_are_passed_over_together(monkeypatch):
+    """A query is compared with a few boxes of many, and finds all within its reach."""
+    rng = np.random.default_rng(9)
+    low = np.arange(1_000.0)[:, None] * [1.0, 0.5]
+    high = low + rng.uniform(0, 2, low.shape)
+    q, r2 = rng.uniform(-5, 1_005, (300, 1)) * [1.0, 0.5], rng.uniform(0, 9, 300)
+    r2[:3] = np.inf, 0.0, np.nan
+    gap = np.maximum(np.maximum(low - q[:, None], q[:, None] - high), 0)
+    want = np.argwhere((gap**2).sum(axis=2) <= r2[:, None])
+    compared, gap2 = [], neighbors._gap2
+
+    def counted(*boxes):
+        compared.append(gap2(*boxes))
+        return compared[-1]
+
+    monkeypatch.setattr(neighbors, "_gap2", counted)
+    found = np.concatenate([np.stack(pairs, axis=1) for pairs in neighbors._within(q, r2, low, high)])
+    assert np.array_equal(found, want)
+    assert sum(c.size for c in compared) < len(q) * 100
