@@ -157,3 +157,80 @@ def test_positives_travel_packed(spark):
     assert len({(r["fold"], r["block"]) for r in blocks}) == len(blocks) <= 6
     assert sorted(b for r in blocks for b in r["bins"][::2]) == list(range(40))
     assert all(set(r["bins"][1::2]) == {7} for r in blocks)
+
+
+class Learned(Exception):
+    pass
+
+
+def counted(rows, *_):
+    raise Learned(rows.count())
+
+
+def complete(spark, sf_dir):
+    from riskloom.operators import columns
+    from riskloom.plans import catalog
+
+    data = catalog.model_data(spark, sf_dir)
+    return columns.design(data.train, data.features, target="label").count()
+
+
+def test_the_grid_query_learns_from_all_rows(spark, sf_dir, monkeypatch):
+    from riskloom.plans import catalog
+
+    monkeypatch.setattr(boosting, "fit_groups", counted)
+    with pytest.raises(Learned) as learned:
+        catalog.gbt_grid(spark, sf_dir)
+    assert learned.value.args[0] == complete(spark, sf_dir) > 1_000
+
+
+def test_quantiles_are_exact_however_many_values(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.c_[rng.normal(0, 1, 900), rng.integers(0, 3, 900), np.full(900, 7.0), rng.integers(0, 200, 900)]
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>")
+    monkeypatch.setattr(boosting, "FEW_VALUES", 100)
+    cuts = boosting.Bins.of(rows, 4)
+    for j, edges in enumerate(cuts.edges):
+        want = np.quantile(x[:, j], [i / boosting.BINS for i in range(1, boosting.BINS)])
+        assert np.allclose(edges, sorted({q for q in want if q < x[:, j].max()}))
+    assert boosting.Bins.of(rows.limit(0), 4).widths.tolist() == [1, 1, 1, 1]
+
+
+def test_rows_beyond_memory_grow_the_same_trees(toy, monkeypatch):
+    x, y, ids = toy
+    widths, least, gamma = x.max(axis=0).astype(int) + 1, np.repeat([1.0, 3.0], 3), np.tile([0.0, 0.2, 0.4], 2)
+    want = boosting.grow(x, y, ids, widths, 5, 0.75, 0.8, least, gamma, 20).margins(x, 6)
+    monkeypatch.setattr(boosting, "HELD_ROWS", 10)
+    monkeypatch.setattr(boosting, "SPAN", 40)
+    monkeypatch.setattr(boosting, "MASKED", 4)
+    assert isinstance(boosting.held(11, float).base, np.memmap)
+    trees = boosting.grow(x, y, ids, widths, 5, 0.75, 0.8, least, gamma, 20)
+    assert np.allclose(boosting.Trees.load(trees.dump()).margins(x, 6), want, atol=1e-9)
+
+
+def test_features_are_counted_together(toy):
+    x, y, _ = toy
+    widths = np.array([9, 4, 2, 2, 2])
+    assert sorted(j for members in boosting.bundles(widths) for j in members) == list(range(5))
+    assert all(np.prod(widths[members]) <= boosting.CELLS for members in boosting.bundles(widths))
+    (found,) = boosting.Histograms(x, widths).of(np.array([0, -1, 1]), 2, np.arange(150) % 3, y)
+    want = [[y[(np.arange(150) % 3 == node) & (x[:, j] == v)].sum() for j in range(5) for v in range(widths[j])] for node in (0, 2)]
+    assert np.allclose(found, want)
+
+
+def test_trees_kept_before_they_were_shared_still_score(toy):
+    x, y, ids = toy
+    trees = boosting.grow(x, y, ids, x.max(axis=0).astype(int) + 1, 3, 0.8, 0.75, np.array([1.0]), np.array([0.0]), 4)
+    old = boosting.Trees.load(boosting.Trees(trees.feature, trees.cut, trees.left, trees.value, trees.starts).dump())
+    assert old.roots is None and np.array_equal(old.margins(x, 1), trees.margins(x, 1))
+
+
+def test_folds_are_read_without_their_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    rows = [(i, None if i == 7 else i % 3, float(i % 2), bytes([i, i + 1])) for i in range(30)]
+    spark.createDataFrame(rows, "application_id bigint, fold int, label double, bins binary").repartition(3).write.parquet(path)
+    files = sorted(spark.read.parquet(path).inputFiles())
+    bins, labels, ids = boosting._outside(files, 1, 2)
+    assert sorted(ids) == [i for i in range(30) if i % 3 != 1 or i == 7]
+    assert (bins == np.stack([ids, ids + 1], axis=1)).all() and (labels == ids % 2).all()
+    assert len(boosting._outside(files, None, 2)[0]) == 30
