@@ -184,6 +184,22 @@ def test_the_grid_query_learns_from_all_rows(spark, sf_dir, monkeypatch):
     assert learned.value.args[0] == complete(spark, sf_dir) > 1_000
 
 
+def test_the_search_and_its_best_point_learn_from_all_rows(spark, sf_dir, monkeypatch):
+    from riskloom.plans import catalog
+
+    asked = []
+
+    def grid(df, sample, *_):
+        asked.append(sample.count())
+        return spark.createDataFrame([(0, "", 0.5)], "grid_index int, params string, mean_score double")
+
+    monkeypatch.setattr(boosting, "boosted_grid", grid)
+    monkeypatch.setattr(boosting, "fit_boosted", counted)
+    with pytest.raises(Learned) as learned:
+        catalog.gbt_best_confusion(spark, sf_dir)
+    assert [*asked, *learned.value.args] == [complete(spark, sf_dir)] * 2 and asked[0] > 1_000
+
+
 def test_quantiles_are_exact_however_many_values(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = np.c_[rng.normal(0, 1, 900), rng.integers(0, 3, 900), np.full(900, 7.0), rng.integers(0, 200, 900)]
