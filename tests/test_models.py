@@ -295,3 +295,19 @@ def test_far_boxes_are_passed_over_together(monkeypatch):
     found = np.concatenate([np.stack(pairs, axis=1) for pairs in neighbors._within(q, r2, low, high)])
     assert np.array_equal(found, want)
     assert sum(c.size for c in compared) < len(q) * 100
+
+
+def test_the_ranking_learns_from_all_rows_outside_each_fold(spark, sf_dir, data, monkeypatch):
+    from riskloom.plans import catalog
+
+    class Learned(Exception):
+        pass
+
+    def counted(df, estimator, folds=10, threads=4, fit_rows=None, train=None):
+        raise Learned([(rows.count(), df.filter(F.col("fold") != f).count()) for f, rows in enumerate(train)])
+
+    monkeypatch.setattr(selection, "cross_predict", counted)
+    with pytest.raises(Learned) as learned:
+        catalog.model_ranking(spark, sf_dir)
+    found = learned.value.args[0]
+    assert len(found) == 10 and all(fitted == outside > 1_000 for fitted, outside in found)
